@@ -140,7 +140,7 @@ def fill_candidates(extended: DataFrame) -> DataFrame:
     the latest value that is not null.
     """
     real = extended.filter(F.col("synthetic_candidate").isNull())
-    back = [c for c in BACK_FILLED if c in extended.columns]
+    back = [c for c in (*BACK_FILLED, SLOT) if c in extended.columns]
     mean = [c for c in MEAN_FILLED if c in extended.columns]
     tops = [c for c in SESSION_CONTEXT if c in extended.columns]
     place = F.struct("timestamp_local", "interaction_id")
@@ -162,10 +162,12 @@ def candidate_touch_index(filled: DataFrame, *, order: str = "reference", hot_ro
     """
     synthetic = F.col("synthetic_candidate").isNotNull()
     kept = SLOT in filled.columns
-    minute = minute_slot(F.col("timestamp_local"))
+    marked = filled if kept else with_hot_slots(
+        filled, ["session_id"], minute_slot(F.col("timestamp_local")), name=SLOT, hot_rows=hot_rows
+    )
     # Candidates lie in a slot range of their own, at the end of the order that puts them last.
-    slot = minute + F.when(synthetic, 1 << 40).otherwise(0)
-    marked = with_hot_slots(filled.drop(SLOT), ["session_id"], slot, name=SLOT, hot_rows=hot_rows)
+    behind = F.when(synthetic, F.col(SLOT) + F.lit(1 << 40)).otherwise(F.col(SLOT))
+    marked = marked.withColumn(SLOT, behind)
     ties = [F.col("country").asc_nulls_first(), F.col("user_id").asc_nulls_first()]
     if order == "reference":
         by = [synthetic.desc(), F.col("timestamp_local").desc(), F.col("interaction_id").desc(), *ties]
@@ -177,9 +179,9 @@ def candidate_touch_index(filled: DataFrame, *, order: str = "reference", hot_ro
         marked, ["session_id", "partnumber"], by, slot=SLOT, slots_fall=order == "reference",
         running={"product_interaction_count": F.lit(1)},
     )
-    return out if kept else out.drop(SLOT)
+    return out.drop(SLOT)
 
 
-def finish_test(extended: DataFrame, *, order: str = "reference", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Filled candidates with touch index and -1 masks."""
-    return mask_unknown_users(candidate_touch_index(fill_candidates(extended), order=order, hot_rows=hot_rows))
+def finish_test(filled: DataFrame, *, order: str = "reference", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Filled test rows with touch index and -1 masks."""
+    return mask_unknown_users(candidate_touch_index(filled, order=order, hot_rows=hot_rows))

@@ -23,22 +23,22 @@ def with_hot_slots(
     slot: Column,
     *,
     name: str = "_slot",
-    counted: Column | None = None,
+    base: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add `name`: `slot` for the rows of hot keys, null for all others.
 
-    Hot means more than `hot_rows` rows and more than 1/(4 * shuffle partitions) of all rows, so
-    there are at most 4 * shuffle partitions hot keys: that bounds the broadcast side.
-    `counted` restricts which rows count.
+    Hot keys are the 4 * shuffle partitions largest ones, as far as they exceed `hot_rows` rows.
+    That limit bounds the broadcast side; any key beyond it has less than a quarter of an even
+    share of the rows and needs no cutting. Keys are counted in `base` (default `df`).
     """
-    share = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df if counted is None else df.filter(counted)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    hot = counts.filter(
-        (F.col("_n") > F.lit(hot_rows)) & (F.col("_n") * F.lit(share) > total)
-    ).select(*keys, F.lit(True).alias("_hot"))
+    most = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = (df if base is None else base).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = (
+        counts.filter(F.col("_n") > F.lit(hot_rows))
+        .orderBy(F.col("_n").desc(), *keys).limit(most)
+        .select(*keys, F.lit(True).alias("_hot"))
+    )
     marked = df.join(F.broadcast(hot), list(keys), "left")
     return marked.withColumn(name, F.when(F.col("_hot"), slot)).drop("_hot")
 
@@ -55,7 +55,7 @@ def windowed(
     following: Mapping[str, str] | None = None,
     overall: Mapping[str, tuple[str, str | Column]] | None = None,
     position: Sequence[str] = (),
-    summarise: Column | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Window columns over `keys` in `order`, with the rows of one key spread over its slots.
 
@@ -65,7 +65,8 @@ def windowed(
     following   name -> column: value of the row after
     overall     name -> (min | max | sum | count, column): over the whole key
     position    names of the ascending columns that make up `order`, needed for previous/following
-    summarise   rows to carry over between slots (all by default)
+    base        the rows to sum up per slot, if an earlier frame than `df` holds the needed columns;
+                rows left out of it carry nothing over to other slots
 
     Keys must not be null.
     """
@@ -89,9 +90,7 @@ def windowed(
     inside = df.withColumns(columns)
 
     # One row per slot of a hot key.
-    cut = df.filter(F.col(slot).isNotNull())
-    if summarise is not None:
-        cut = cut.filter(summarise)
+    cut = (df if base is None else base).filter(F.col(slot).isNotNull())
     place = F.struct(*position) if position else None
     pieces: list[Column] = [F.count(F.lit(1)).alias("_rows")]
     for out, value in running.items():

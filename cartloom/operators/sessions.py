@@ -63,12 +63,17 @@ def with_session_slots(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def session_row_features(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Times and size of the session for every row, from one pass over one sort."""
+def session_row_features(
+    df: DataFrame, hot_rows: int = HOT_ROWS, base: DataFrame | None = None
+) -> DataFrame:
+    """Times and size of the session for every row, from one pass over one sort.
+
+    `base` is an earlier frame with the tagged rows, see `windowed`.
+    """
     tagged = with_session_slots(df, hot_rows)
     ts, by = "timestamp_local", ["timestamp_local", "interaction_id"]
     wide = windowed(
-        tagged, ["session_id"], [F.col(c) for c in by], slot=SLOT, position=by,
+        tagged, ["session_id"], [F.col(c) for c in by], slot=SLOT, position=by, base=base,
         previous={"_before": ts}, following={"_after": ts},
         overall={
             "_first": ("min", ts), "_last": ("max", ts),

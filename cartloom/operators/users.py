@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.numbers import finite_or_zero, ratio
 from cartloom.operators.quantiles import cumulative_counts, exact_quantiles
+from cartloom.session import stage
 
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
 
@@ -83,67 +84,70 @@ def user_flags(users: DataFrame) -> DataFrame:
     return flagged.drop("_all")
 
 
-def rank_table(df: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, value) -> `n` rows and `rank`: highest first, equal values share their mean rank.
+def average_rank(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """`df` with the rank of `value` inside `key`: highest first, equal values share their mean rank.
 
-    Built on the (key, value) counts, so a key with a third of all rows only costs as much as it
-    has different values, and those are spread over value slots.
+    Ranks are built on the (key, value) counts, so a key with a third of all rows only costs as
+    much as it has different values, and those are spread over value slots.
     """
     steps = cumulative_counts(df, [key], value, falling=True)
-    return steps.select(key, value, "n", (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias("rank"))
+    ranks = steps.select(key, value, (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias(out))
+    return df.join(ranks, [key, value], "left")
 
 
-def average_rank(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """`df` with the mean-method rank of `value` inside `key`, highest first."""
-    ranks = rank_table(df, key, value).select(key, value, F.col("rank").alias(out))
-    return df.join(ranks, [key, value], "left")
+def rank_table(users: DataFrame, values: Sequence[str] = ("R", "F", "M")) -> DataFrame:
+    """(metric, user_country, value, n, rank) for all metrics from one pass: the mean-method rank."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values
+    ]))
+    long = users.select("user_country", pairs.alias("_p")).select("user_country", "_p.*")
+    steps = cumulative_counts(long, ["metric", "user_country"], "value", falling=True)
+    rank = F.col("upto") - (F.col("n") - 1) / F.lit(2.0)
+    return steps.select("metric", "user_country", "value", "n", rank.alias("rank"))
 
 
-def rfm_ranks(users: DataFrame, values: Sequence[str] = ("R", "F", "M")) -> DataFrame:
-    """`r/f/m_rank_in_country`: the mean-method rank in the country, cut to int."""
+def _with_rank_columns(users: DataFrame, ranks: DataFrame, values: Sequence[str], columns: dict[str, Column]) -> DataFrame:
+    """Join `columns` of the rank table to the users, once per metric (names get its letter)."""
     out = users
     for value in values:
-        name = f"{value.lower()}_rank_in_country"
-        ranks = rank_table(users, "user_country", value)
-        ranks = ranks.select("user_country", value, F.col("rank").cast("int").alias(name))
-        out = out.join(ranks, ["user_country", value], "left")
+        own = ranks.filter(F.col("metric") == value).select(
+            "user_country", F.col("value").alias("_value"),
+            *[c.alias(f"{value.lower()}_{name}") for name, c in columns.items()],
+        )
+        out = out.withColumn("_value", F.col(value).cast("double"))
+        out = out.join(own, ["user_country", "_value"], "left").drop("_value")
     return out
 
 
+def rfm_ranks(users: DataFrame, values: Sequence[str] = ("R", "F", "M")) -> DataFrame:
+    """`r/f/m_rank_in_country`: the mean-method rank in the country, cut to int."""
+    ranks = stage(rank_table(users, values), "ranks")
+    return _with_rank_columns(users, ranks, values, {"rank_in_country": F.col("rank").cast("int")})
+
+
 def rfm_segments(
     users: DataFrame, *, scope: str = "pooled", values: Sequence[str] = ("R", "F", "M")
 ) -> DataFrame:
     """`r/f/m_segment` 1..5 (1 = best) by quintile of the country rank, plus the ranks.
 
     scope "pooled" cuts the ranks of all countries together, "country" each country by itself.
-    Equal edges merge. Edges and segments are found on the (country, value) counts; the users
-    are joined once per value.
+    Equal edges merge. Edges and segments are found on the rank table, which is written once;
+    the users are joined to it once per metric.
     """
     if scope not in ("pooled", "country"):
         raise ValueError("scope must be 'pooled' or 'country'")
-    out = users
-    for value in values:
-        name = value.lower()
-        ranks = rank_table(users, "user_country", value)
-        if scope == "pooled":
-            edges = exact_quantiles(ranks, [], "rank", QUINTILES, weight="n").select("edges").scalar()
-            ranks = ranks.withColumn("edges", edges)
-        else:
-            # A smallint key: at most 65,536 rows.
-            ranks = ranks.withColumn("user_country", F.col("user_country").cast("smallint"))
-            cut = exact_quantiles(ranks, ["user_country"], "rank", QUINTILES, weight="n").drop("n")
-            ranks = ranks.join(F.broadcast(cut), "user_country")
-        segment = F.lit(1) + F.size(F.filter(F.array_distinct("edges"), lambda e: F.col("rank") > e))
-        ranks = ranks.select(
-            "user_country", value,
-            segment.cast("tinyint").alias(f"{name}_segment"),
-            F.col("rank").cast("int").alias(f"{name}_rank_in_country"),
-        )
-        out = out.join(ranks, ["user_country", value], "left")
-    return out
+    ranks = stage(rank_table(users, values), "ranks")
+    # Three metrics, or three per smallint country: at most 3 * 65,536 rows.
+    keys = ["metric"] if scope == "pooled" else ["metric", "user_country"]
+    ranks = ranks.withColumn("user_country", F.col("user_country").cast("smallint"))
+    edges = exact_quantiles(ranks, keys, "rank", QUINTILES, weight="n").drop("n")
+    segment = F.lit(1) + F.size(F.filter(F.array_distinct("edges"), lambda e: F.col("rank") > e))
+    return _with_rank_columns(
+        users, ranks.join(F.broadcast(edges), keys), values,
+        {"segment": segment.cast("tinyint"), "rank_in_country": F.col("rank").cast("int")},
+    )
 
 
 def user_features(users: DataFrame) -> DataFrame:
-    """All user columns of the model, one row per user."""
-    one = user_ratio_features(dedupe_users(users))
-    return rfm_segments(user_flags(user_country_features(one)))
+    """All user columns of the model for one row per user (see `dedupe_users`)."""
+    return rfm_segments(user_flags(user_country_features(user_ratio_features(users))))

@@ -19,7 +19,7 @@ from cartloom.operators.products import (
 )
 from cartloom.operators.ranking import fit_ranker, score
 from cartloom.operators.similarity import similar_lists, top_k_similar, top_similar_candidates
-from cartloom.operators.users import user_features
+from cartloom.operators.users import dedupe_users, user_features
 from cartloom.session import stage
 
 
@@ -43,40 +43,50 @@ class Options:
     ranker: dict = field(default_factory=dict)
 
 
-# The plain settings of the original feature tables.
-PARITY = Options(dedupe="row", order="reference", strict_prior=False, carry_forward=False)
+# Feature tables without the corrections: see the README on the options.
+PARITY = Options(
+    top_global=10, dedupe="row", order="reference", strict_prior=False, carry_forward=False
+)
 
 
 def split_features(train: DataFrame, test: DataFrame, options: Options) -> DataFrame:
     """Both splits in one frame (`flag` 1/0) with everything that does not depend on candidates.
 
-    Sessions do not span the splits, so one pass serves both.
+    Sessions do not span the splits, so one pass serves both. Hot users and sessions are found
+    once, on the plain rows; the slot summaries are taken from there too.
     """
-    tables = I.cart_ratio_tables(I.impute_interactions(train))
+    train_rows, test_rows = I.impute_interactions(train), I.impute_interactions(test)
+    plain = I.join_splits(train_rows, test_rows)
+    tagged = S.with_session_slots(I.with_user_slots(plain, options.hot_rows), options.hot_rows)
     both = I.running_counts(
-        I.join_splits(I.impute_interactions(train), I.impute_interactions(test)),
-        strict_prior=options.strict_prior, carry_forward=options.carry_forward, hot_rows=options.hot_rows,
+        tagged, strict_prior=options.strict_prior, carry_forward=options.carry_forward
     )
-    rows = S.session_row_features(I.fill_zero(I.with_cart_ratios(both, tables)), options.hot_rows)
-    return S.calendar_features(rows)
+    rows = I.fill_zero(I.with_cart_ratios(both, I.cart_ratio_tables(train_rows)))
+    return S.calendar_features(S.session_row_features(rows, base=tagged))
 
 
 def train_features(both: DataFrame, options: Options) -> DataFrame:
+    """Train rows of a written `split_features` frame, complete but for product and user columns."""
     train = both.filter(F.col("flag") == 1).drop("flag")
     return S.mask_unknown_users(S.product_touch_index(train, options.hot_rows)).drop(S.SLOT)
 
 
-def test_features(both: DataFrame, train_fe: DataFrame, similar: DataFrame, options: Options) -> DataFrame:
-    test = both.filter(F.col("flag") == 0).drop("flag", "add_to_cart", S.SLOT)
-    extended = C.extend_test(
-        test,
+def extended_test(both: DataFrame, train_fe: DataFrame, similar: DataFrame, options: Options) -> DataFrame:
+    """Test rows of a written `split_features` frame with candidates from all sources."""
+    return C.extend_test(
+        both.filter(F.col("flag") == 0).drop("flag", "add_to_cart"),
         dedupe=options.dedupe,
         top_global=C.global_candidates(train_fe, options.top_global) if options.top_global else None,
         by_country=C.country_candidates(train_fe, options.top_country) if options.top_country else None,
         by_user=C.known_user_candidates(train_fe, options.top_user) if options.top_user else None,
         similar=similar if options.top_similar else None,
     )
-    return C.finish_test(extended, order=options.order, hot_rows=options.hot_rows)
+
+
+def test_features(both: DataFrame, train_fe: DataFrame, similar: DataFrame, options: Options) -> DataFrame:
+    """Extended test rows, filled and finished. Written once in between, as the last step reads them twice."""
+    filled = stage(C.fill_candidates(extended_test(both, train_fe, similar, options)), "test_rows")
+    return C.finish_test(filled, order=options.order, hot_rows=options.hot_rows)
 
 
 @dataclass(frozen=True)
@@ -94,8 +104,9 @@ def build_tables(
     wanted = restrict_products(products, product_universe(train, test))
     filled = stage(impute_section(impute_embeddings(wanted)), "products_filled")
     products_fe = stage(product_features(filled), "products_fe")
-    similar = top_similar_candidates(similar_lists(top_k_similar(filled, 10)), options.top_similar)
-    users_fe = stage(user_features(users), "users_fe")
+    near = stage(similar_lists(top_k_similar(filled, 10)), "similar")
+    similar = top_similar_candidates(near, options.top_similar)
+    users_fe = stage(user_features(stage(dedupe_users(users), "users_one")), "users_fe")
     both = stage(split_features(train, test, options), "rows")
     train_fe = stage(train_features(both, options), "train_rows")
     test_fe = test_features(both, train_fe, similar, options)
