@@ -103,7 +103,7 @@ def popularity_histogram(counts: DataFrame, above: float, bins: int = 100, value
         .withColumn("bin", F.least(place, F.lit(bins - 1)))
         .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = span.select("_s", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin"))
+    frame = span.select("_s", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return frame.join(filled, "bin", "left").select(
         "bin",
         (lo + (hi - lo) * F.col("bin") / bins).alias("low"),

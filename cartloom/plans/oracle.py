@@ -240,7 +240,7 @@ def statement(parts: str, columns: list[tuple[str, str]], body: str) -> str:
 
 # Discount of the places 1..5, summed up: entry i holds places 1..i.
 _UPTO = [sum(1 / log2(j + 1) for j in range(1, i + 1)) for i in range(6)]
-_PLACES = "[" + ", ".join(repr(x) for x in _UPTO) + "]"
+_PLACES = "[" + ", ".join(f"{x!r}::DOUBLE" for x in _UPTO) + "]"
 
 Q1 = """SELECT partnumber FROM v_products WHERE color_id = 3 AND discount = 1 ORDER BY family, partnumber LIMIT 1"""
 Q2 = """SELECT user_id FROM v_users WHERE country = (
@@ -273,7 +273,7 @@ LEFT JOIN popularity USING (partnumber) GROUP BY session_id, partnumber"""
 TOP5 = f"""SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY score DESC, partnumber) AS rank
 FROM ({SCORED_OFFERS}) QUALIFY rank <= 5"""
 NDCG = f"""SELECT session_id, CASE WHEN pos > 0 THEN dcg / {_PLACES}[least(pos, 5) + 1] ELSE 0 END AS ndcg FROM (
-  SELECT session_id, sum(gain) AS pos,
+  SELECT session_id, CAST(sum(gain) AS BIGINT) AS pos,
     sum(gain / n * ({_PLACES}[least(done, 5) + 1] - {_PLACES}[least(done - n, 5) + 1])) AS dcg
   FROM (SELECT session_id, score, count(*) AS n, sum(add_to_cart) AS gain,
           CAST(sum(count(*)) OVER (PARTITION BY session_id ORDER BY score DESC) AS BIGINT) AS done

@@ -25,12 +25,16 @@ def load_data(
     if file_type == "csv":
         if schema is None:
             raise ValueError("a CSV read needs a schema")
-        # Header names are matched to the schema's; CSV columns may come in any order.
+        # Header names are matched to the schema's; CSV columns may come in any order. Whole
+        # numbers are read as doubles first, as columns with gaps are often written as 24.0.
         names = spark.read.option("header", True).csv(path).columns
-        known = {f.name: f for f in schema.fields}
-        ordered = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+        kinds = {f.name: f.dataType for f in schema.fields}
+        read_as = {
+            n: T.DoubleType() if isinstance(kind, T.IntegralType) else kind for n, kind in kinds.items()
+        }
+        ordered = T.StructType([T.StructField(n, read_as.get(n, T.StringType())) for n in names])
         df = spark.read.schema(ordered).option("header", True).option("mode", "FAILFAST").csv(path)
-        df = df.select(*[n for n in schema.names if n in names])
+        df = df.select(*[F.col(n).cast(kinds[n]).alias(n) for n in schema.names if n in names])
     elif file_type == "parquet":
         df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     else:
