@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.vectors import with_unit_vector
 
-BLOCK_ROWS = 2048
+# Two blocks of vectors meet in a task: at 1,280 numbers per vector about 80 MB.
+BLOCK_ROWS = 4096
+# Rows of a block multiplied at a time, which bounds the matrix of cosines.
+CHUNK_ROWS = 512
 # Cosines are compared at this many decimals, so that rounding noise breaks no ties.
 DECIMALS = 9
 
@@ -47,33 +50,34 @@ def _block_pairs(reps: DataFrame, block_rows: int) -> DataFrame:
 
 def _nearest_reps(reps: DataFrame, k: int, block_rows: int) -> DataFrame:
     """(rep, other, cosine): the k most similar vectors of each, itself included."""
-    decimals = DECIMALS
+    decimals, chunk = DECIMALS, CHUNK_ROWS
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        # Rows in id order, so that a stable sort leaves ties to the smaller id.
         pdf = pdf.sort_values("rep")
         low, high = int(pdf["low"].iat[0]), int(pdf["high"].iat[0])
-        sides = [pdf[pdf["block"] == low]]
-        if high != low:
-            sides.append(pdf[pdf["block"] == high])
-        frames = []
-        if all(len(s) for s in sides):
-            ids = [s["rep"].to_numpy() for s in sides]
-            mats = [np.stack(s["unit"].to_numpy()) for s in sides]
-            sims = np.round(mats[0] @ mats[-1].T, decimals)
-            directions = [(ids[0], ids[-1], sims)]
-            if high != low:
-                directions.append((ids[1], ids[0], sims.T))
-            for own, others, sim in directions:
-                # Columns are in id order, so a stable sort leaves ties to the smaller id.
+        blocks = []
+        for number in dict.fromkeys((low, high)):
+            part = pdf[pdf["block"] == number]
+            if len(part):
+                blocks.append((part["rep"].to_numpy(), np.stack(part["unit"].to_numpy())))
+        if low == high:
+            directions = [(blocks[0], blocks[0])]
+        elif len(blocks) == 2:
+            directions = [(blocks[0], blocks[1]), (blocks[1], blocks[0])]
+        else:
+            directions = []
+        found = [pd.DataFrame({"rep": [], "other": [], "cosine": []})]
+        for (own, mat), (others, other_mat) in directions:
+            for start in range(0, len(own), chunk):
+                sim = np.round(mat[start:start + chunk] @ other_mat.T, decimals)
                 best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-                frames.append(pd.DataFrame({
-                    "rep": np.repeat(own, best.shape[1]),
+                found.append(pd.DataFrame({
+                    "rep": np.repeat(own[start:start + chunk], best.shape[1]),
                     "other": others[best].ravel(),
                     "cosine": np.take_along_axis(sim, best, axis=1).ravel(),
                 }))
-        if not frames:
-            return pd.DataFrame({"rep": [], "other": [], "cosine": []})
-        return pd.concat(frames, ignore_index=True)
+        return pd.concat(found[1:] or found, ignore_index=True)
 
     local = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
         kernel, "rep long, other long, cosine double"
@@ -86,7 +90,8 @@ def top_k_similar(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS)
     """(partnumber, rank, neighbour, cosine): the k nearest products by cosine, itself left out.
 
     Ties go to the smaller product. Copies of one vector are compared once: of a group of equal
-    vectors only the k + 1 smallest products can be anybody's neighbours.
+    vectors only the k + 1 smallest products can be anybody's neighbours. `vectors` must read the
+    same each time (a written table, not means that are worked out again).
     """
     ids = vectors.filter(F.col("embedding").isNotNull()).select(
         F.col("partnumber").cast("bigint").alias("partnumber"), "embedding"
@@ -142,19 +147,23 @@ def cosine_pairs(vectors: DataFrame, threshold: float, block_rows: int = BLOCK_R
     Products with equal vectors stand as one row under the smallest of them; `copies_a` and
     `copies_b` say how many there are.
     """
-    decimals = DECIMALS
+    decimals, chunk = DECIMALS, CHUNK_ROWS
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         low, high = int(pdf["low"].iat[0]), int(pdf["high"].iat[0])
         left = pdf[pdf["block"] == low]
-        right = left if low == high else pdf[pdf["block"] == high]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "cosine": []})
-        sim = np.round(np.stack(left["unit"].to_numpy()) @ np.stack(right["unit"].to_numpy()).T, decimals)
-        rows, cols = np.nonzero(sim >= threshold)
-        a, b = left["rep"].to_numpy()[rows], right["rep"].to_numpy()[cols]
-        out = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": sim[rows, cols]})
-        return out[a < b] if low == high else out
+        right = pdf[pdf["block"] == high]
+        found = [pd.DataFrame({"a": [], "b": [], "cosine": []})]
+        if len(left) and len(right):
+            own, others = left["rep"].to_numpy(), right["rep"].to_numpy()
+            mat, other_mat = np.stack(left["unit"].to_numpy()), np.stack(right["unit"].to_numpy())
+            for start in range(0, len(own), chunk):
+                sim = np.round(mat[start:start + chunk] @ other_mat.T, decimals)
+                rows, cols = np.nonzero(sim >= threshold)
+                a, b = own[start + rows], others[cols]
+                part = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": sim[rows, cols]})
+                found.append(part[a < b] if low == high else part)
+        return pd.concat(found[1:] or found, ignore_index=True)
 
     reps = distinct_vectors(vectors)
     pairs = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
