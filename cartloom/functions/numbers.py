@@ -25,6 +25,14 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def steady_mean(value: Column) -> Column:
+    """Mean of amounts with up to six decimals, summed as decimals.
+
+    Sums of doubles change in the last digits with the order in which tasks finish; these do not.
+    """
+    return F.avg(value.cast("decimal(20,6)")).cast("double")
+
+
 def finite_or_zero(value: Column) -> Column:
     """0 in place of NaN, an infinity, or the null that `ratio` gives for a zero divisor."""
     bad = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import minute_slot
+from cartloom.functions.numbers import minute_slot, steady_mean
 from cartloom.operators.interactions import ANONYMOUS
 from cartloom.operators.ordered import HOT_ROWS, windowed, with_hot_slots
 from cartloom.operators.sessions import SESSION_CONTEXT, SLOT, mask_unknown_users
@@ -146,7 +146,7 @@ def fill_candidates(extended: DataFrame) -> DataFrame:
     place = F.struct("timestamp_local", "interaction_id")
     context = real.groupBy("session_id").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_ctx_{c}") for c in back],
-        *[F.avg(c).alias(f"_ctx_{c}") for c in mean],
+        *[steady_mean(F.col(c)).alias(f"_ctx_{c}") for c in mean],
         *[F.max(c).alias(f"_ctx_{c}") for c in tops],
     )
     made = extended.filter(F.col("synthetic_candidate") == 1).join(context, "session_id", "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import finite_or_zero, ratio
+from cartloom.functions.numbers import finite_or_zero, ratio, steady_mean
 from cartloom.operators.quantiles import cumulative_counts, exact_quantiles
 from cartloom.session import stage
 
@@ -51,7 +51,7 @@ def user_ratio_features(users: DataFrame) -> DataFrame:
 def country_means(users: DataFrame) -> DataFrame:
     """Mean M, F, R per country. `user_country` is a smallint: at most 65,536 rows."""
     return users.groupBy(F.col("user_country").cast("smallint").alias("user_country")).agg(
-        F.avg("M").alias("country_avg_monetary"),
+        steady_mean(F.col("M")).alias("country_avg_monetary"),
         F.avg("F").alias("country_avg_frequency"),
         F.avg("R").alias("country_avg_recency"),
     )
@@ -71,7 +71,7 @@ def user_flags(users: DataFrame) -> DataFrame:
     """Six 0/1 flags: M, F, R above the country's and above the overall mean."""
     own = "country_avg_monetary" in users.columns
     based = users if own else user_country_features(users)
-    means = users.agg(F.struct(F.avg("M").alias("M"), F.avg("F").alias("F"), F.avg("R").alias("R")))
+    means = users.agg(F.struct(steady_mean(F.col("M")).alias("M"), F.avg("F").alias("F"), F.avg("R").alias("R")))
     overall = means.scalar()
     flagged = based.withColumn("_all", overall).withColumns({
         "is_high_value_incountry": (F.col("M") > F.col("country_avg_monetary")).cast("tinyint"),

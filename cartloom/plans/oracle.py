@@ -41,15 +41,15 @@ user_ratios AS (
     coalesce(M / nullif(R, 0), 0) AS spend_rate_per_day, M * F AS total_value_frequency,
     coalesce(R / nullif(F, 0), 0) AS avg_days_between_purchases FROM one_user),
 user_countries AS (
-  SELECT *, avg(M) OVER c AS country_avg_monetary, avg(F) OVER c AS country_avg_frequency,
-    avg(R) OVER c AS country_avg_recency, M / avg(M) OVER c AS relative_monetary_value,
+  SELECT *, CAST(sum(CAST(M AS DECIMAL(20,6))) OVER c AS DOUBLE) / count(*) OVER c AS country_avg_monetary, avg(F) OVER c AS country_avg_frequency,
+    avg(R) OVER c AS country_avg_recency, M / (CAST(sum(CAST(M AS DECIMAL(20,6))) OVER c AS DOUBLE) / count(*) OVER c) AS relative_monetary_value,
     F / avg(F) OVER c AS relative_frequency, R / avg(R) OVER c AS relative_recency
   FROM user_ratios WINDOW c AS (PARTITION BY user_country)),
 user_marks AS (
   SELECT *, CAST(M > country_avg_monetary AS INT) AS is_high_value_incountry,
     CAST(F > country_avg_frequency AS INT) AS is_frequent_buyer_incountry,
     CAST(R > country_avg_recency AS INT) AS is_recent_customer_incountry,
-    CAST(M > avg(M) OVER () AS INT) AS is_high_value, CAST(F > avg(F) OVER () AS INT) AS is_frequent_buyer,
+    CAST(M > CAST(sum(CAST(M AS DECIMAL(20,6))) OVER () AS DOUBLE) / count(*) OVER () AS INT) AS is_high_value, CAST(F > avg(F) OVER () AS INT) AS is_frequent_buyer,
     CAST(R > avg(R) OVER () AS INT) AS is_recent_customer FROM user_countries),
 user_ranked AS (
   SELECT *,
@@ -186,7 +186,7 @@ extended AS (
 latest AS (
   SELECT * FROM test_fe QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY timestamp_local DESC, interaction_id DESC) = 1),
 session_means AS (
-  SELECT session_id, avg(seconds_since_last_interaction) AS seconds_mean, avg(interaction_length) AS length_mean,
+  SELECT session_id, CAST(sum(CAST(seconds_since_last_interaction AS DECIMAL(20,6))) AS DOUBLE) / count(seconds_since_last_interaction) AS seconds_mean, CAST(sum(CAST(interaction_length AS DECIMAL(20,6))) AS DOUBLE) / count(interaction_length) AS length_mean,
     max(known_user) AS known_user, max(page_cart_ratio) AS page_cart_ratio, max(device_cart_ratio) AS device_cart_ratio,
     max(country_cart_ratio) AS country_cart_ratio, max(user_previous_cart_additions) AS user_previous_cart_additions,
     max(user_previous_interactions) AS user_previous_interactions,
