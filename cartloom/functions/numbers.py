@@ -6,18 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+def seconds_between(start: Column, end: Column) -> Column:
+    """Exact wall-clock seconds with six places, whatever the session's time zone."""
+    return (end - start).cast("interval second").cast("decimal(18,6)")
 
 
-def tenths(micros: Column) -> Column:
-    """Whole microseconds (>= 0) to seconds with one decimal, halves up, in exact integer steps."""
-    return F.floor((micros + F.lit(50_000)) / F.lit(100_000)).cast("double") / F.lit(10.0)
-
-
-def hundredths(micros: Column) -> Column:
-    """Whole microseconds (>= 0) to seconds with two decimals."""
-    return F.floor((micros + F.lit(5_000)) / F.lit(10_000)).cast("double") / F.lit(100.0)
+def rounded(seconds: Column, places: int) -> Column:
+    """A decimal rounded, halves up, as double."""
+    return F.round(seconds, places).cast("double")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -50,7 +46,6 @@ def value_slot(value: Column, steps: int = 256) -> Column:
 
 
 def minute_slot(ts: Column) -> Column:
-    """Minutes since 1970: one slot per minute of the covered time span."""
-    return F.floor(
-        micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), ts) / F.lit(60_000_000)
-    ).cast("long")
+    """Minutes since 1970 on the local clock: one slot per minute of the covered time span."""
+    days = F.unix_date(ts.cast("date")).cast("long")
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)

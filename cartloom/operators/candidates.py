@@ -154,11 +154,11 @@ def fill_candidates(extended: DataFrame) -> DataFrame:
     return real.unionByName(filled.select(*extended.columns))
 
 
-def candidate_touch_index(filled: DataFrame, *, order: str = "reference", hot_rows: int = HOT_ROWS) -> DataFrame:
+def candidate_touch_index(filled: DataFrame, *, order: str = "latest_first", hot_rows: int = HOT_ROWS) -> DataFrame:
     """`product_interaction_count` on a test frame with candidates.
 
-    order "reference": candidates count first, then real rows from the latest to the earliest.
-    order "plan": real rows by time as in train, candidates after them.
+    order "latest_first": candidates count first, then real rows from the latest to the earliest.
+    order "by_time": real rows by time as in train, candidates after them.
     """
     synthetic = F.col("synthetic_candidate").isNotNull()
     kept = SLOT in filled.columns
@@ -169,19 +169,19 @@ def candidate_touch_index(filled: DataFrame, *, order: str = "reference", hot_ro
     behind = F.when(synthetic, F.col(SLOT) + F.lit(1 << 40)).otherwise(F.col(SLOT))
     marked = marked.withColumn(SLOT, behind)
     ties = [F.col("country").asc_nulls_first(), F.col("user_id").asc_nulls_first()]
-    if order == "reference":
+    if order == "latest_first":
         by = [synthetic.desc(), F.col("timestamp_local").desc(), F.col("interaction_id").desc(), *ties]
-    elif order == "plan":
+    elif order == "by_time":
         by = [synthetic.asc(), F.col("timestamp_local").asc(), F.col("interaction_id").asc(), *ties]
     else:
         raise ValueError("order must be 'reference' or 'plan'")
     out = windowed(
-        marked, ["session_id", "partnumber"], by, slot=SLOT, slots_fall=order == "reference",
+        marked, ["session_id", "partnumber"], by, slot=SLOT, slots_fall=order == "latest_first",
         running={"product_interaction_count": F.lit(1)},
     )
     return out.drop(SLOT)
 
 
-def finish_test(filled: DataFrame, *, order: str = "reference", hot_rows: int = HOT_ROWS) -> DataFrame:
+def finish_test(filled: DataFrame, *, order: str = "latest_first", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Filled test rows with touch index and -1 masks."""
     return mask_unknown_users(candidate_touch_index(filled, order=order, hot_rows=hot_rows))

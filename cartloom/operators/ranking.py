@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.operators.evaluate import ndcg_at_k, pooled_f1
-from cartloom.operators.folds import group_folds
+from cartloom.operators.folds import group_folds, sample_sessions
 
 # The columns of the model matrix.
 FEATURES = (
@@ -160,8 +160,13 @@ def cross_validate(
     return out
 
 
-def cross_validate_ranker(df: DataFrame, k: int = 5, *, seed: int = 23, features: Sequence[str] = FEATURES, **options) -> DataFrame:
-    """NDCG@5 by session folds."""
+def cross_validate_ranker(
+    df: DataFrame, k: int = 5, *, share: float | None = None, seed: int = 23,
+    features: Sequence[str] = FEATURES, **options,
+) -> DataFrame:
+    """NDCG@5 by session folds, on a random `share` of the sessions if one is given."""
+    if share is not None:
+        df = df.join(sample_sessions(df, share, seed), "session_id", "left_semi")
     return cross_validate(
         group_folds(df, k, seed),
         lambda part: fit_ranker(part, features=features, **options),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.calendar import day_frame, iso_weekday
-from cartloom.functions.numbers import hundredths, micros_between, minute_slot, tenths
+from cartloom.functions.numbers import minute_slot, rounded, seconds_between
 from cartloom.operators.ordered import HOT_ROWS, windowed, with_hot_slots
 
 SLOT = "session_slot"
@@ -38,7 +38,7 @@ def session_metric_columns() -> list[Column]:
     return [
         F.col("user_id").cast("bigint").alias("user_id"),
         F.col("session_id").cast("bigint").alias("session_id"),
-        hundredths(micros_between(F.col("first_seen"), F.col("last_seen"))).alias("total_session_time"),
+        rounded(seconds_between(F.col("first_seen"), F.col("last_seen")), 2).alias("total_session_time"),
         percent.cast("double").alias("cart_addition_ratio"),
     ]
 
@@ -82,9 +82,9 @@ def session_row_features(
     )
     zero = F.lit(0.0)
     return wide.withColumns({
-        "seconds_since_last_interaction": F.coalesce(tenths(micros_between(F.col("_before"), F.col(ts))), zero),
-        "total_session_time": F.coalesce(tenths(micros_between(F.col("_first"), F.col("_last"))), zero),
-        "interaction_length": F.coalesce(tenths(micros_between(F.col(ts), F.col("_after"))), zero),
+        "seconds_since_last_interaction": F.coalesce(rounded(seconds_between(F.col("_before"), F.col(ts)), 1), zero),
+        "total_session_time": F.coalesce(rounded(seconds_between(F.col("_first"), F.col("_last")), 1), zero),
+        "interaction_length": F.coalesce(rounded(seconds_between(F.col(ts), F.col("_after")), 1), zero),
     }).drop("_before", "_after", "_first", "_last")
 
 

@@ -68,15 +68,20 @@ class Data:
     def near(self) -> DataFrame:
         """Five nearest products, among the products of both splits."""
         own = P.restrict_products(self.products, P.product_universe(self.train, self.test))
-        return V.top_similar_candidates(V.similar_lists(V.top_k_similar(own, 10)), 5)
+        top = V.top_k_similar(stage(own.select("partnumber", "embedding"), "own"), 10)
+        return V.top_similar_candidates(V.similar_lists(top), 5)
 
-    def extended(self, options: REC.Options = REC.PARITY) -> DataFrame:
+    def sources(self, options: REC.Options) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows of both splits, train features and near products, each written once."""
         rows = self.rows
-        return REC.extended_test(rows, REC.train_features(rows, options), self.near, options)
+        return rows, stage(REC.train_features(rows, options), "train_rows"), stage(self.near, "near")
+
+    def extended(self, options: REC.Options = REC.PARITY) -> DataFrame:
+        return REC.extended_test(*self.sources(options), options)
 
     def finished(self, order: str) -> DataFrame:
-        rows, options = self.rows, replace(REC.PARITY, order=order)
-        return REC.test_features(rows, REC.train_features(rows, options), self.near, options)
+        options = replace(REC.PARITY, order=order)
+        return REC.test_features(*self.sources(options), options)
 
     @property
     def popularity(self) -> DataFrame:
@@ -282,9 +287,9 @@ def _fill_nulls(d: Data) -> DataFrame:
     return S.fill_session_nulls(d.extended())
 
 
-_add("test_features", f"{ROW} synthetic_candidate product_interaction_count", lambda d: d.finished("reference"))
+_add("test_features", f"{ROW} synthetic_candidate product_interaction_count", lambda d: d.finished("latest_first"))
 _add("test_touch_index_by_time", f"{ROW} synthetic_candidate product_interaction_count",
-     lambda d: d.finished("plan"))
+     lambda d: d.finished("by_time"))
 
 # Learning and evaluation.
 TRAIN = ("interaction_id session_id date:a timestamp_local:t user_id country partnumber device_type pagetype "

@@ -368,6 +368,7 @@ CASE WHEN known_user = -1 THEN -1 ELSE rows_so_far - 1 END AS user_previous_inte
     "train_features": ("views rows", "SELECT * FROM train_fe"),
     "assembled_train": ("views users products rows", """SELECT * FROM train_fe
 LEFT JOIN (SELECT * EXCLUDE (embedding) FROM product_stats) USING (partnumber) LEFT JOIN user_fe USING (user_id)"""),
+    "feature_matrix": ("views", "SELECT session_id, partnumber, add_to_cart, 56 AS width FROM train"),
     # similarity
     "top_k_similar": ("views products", """SELECT partnumber, neighbour, cosine, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY partnumber ORDER BY cosine DESC, neighbour) AS rank FROM (

@@ -32,7 +32,7 @@ class Options:
     top_user: int = 5
     top_similar: int = 5
     dedupe: str = "item"
-    order: str = "plan"
+    order: str = "by_time"
     strict_prior: bool = True
     carry_forward: bool = True
     min_adds: int = 5
@@ -45,7 +45,7 @@ class Options:
 
 # Feature tables without the corrections: see the README on the options.
 PARITY = Options(
-    top_global=10, dedupe="row", order="reference", strict_prior=False, carry_forward=False
+    top_global=10, dedupe="row", order="latest_first", strict_prior=False, carry_forward=False
 )
 
 

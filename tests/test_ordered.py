@@ -89,7 +89,7 @@ def test_visits_do_not_depend_on_cutting(clicks, grain):
     same(avg_visits_before_add(clicks, grain=grain, hot_rows=0), avg_visits_before_add(clicks, grain=grain))
 
 
-@pytest.mark.parametrize("order", ["reference", "plan"])
+@pytest.mark.parametrize("order", ["latest_first", "by_time"])
 def test_candidate_touch_index_does_not_depend_on_cutting(spark, clicks, order):
     made = clicks.select("session_id").distinct().withColumn("partnumber", F.lit(2)).withColumn(
         "synthetic_candidate", F.lit(1).cast("long"))
@@ -98,7 +98,7 @@ def test_candidate_touch_index_does_not_depend_on_cutting(spark, clicks, order):
     plain = C.candidate_touch_index(C.fill_candidates(extended.drop(S.SLOT)), order=order)
     same(cut, plain)
     first = plain.filter("session_id = 7 AND partnumber = 2 AND synthetic_candidate = 1").first()
-    assert (first.product_interaction_count == 1) == (order == "reference")
+    assert (first.product_interaction_count == 1) == (order == "latest_first")
 
 
 def test_exact_quantiles_match_pandas(spark):
