@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cartloom.functions.numbers import minute_slot, seconds_between
 from cartloom.operators import candidates as C
 from cartloom.operators import interactions as I
 from cartloom.operators import sessions as S
@@ -115,3 +116,19 @@ def test_sample_rows_is_exact_and_repeatable(rows, n):
     first = {r.id for r in sample_rows(rows, n, ["id"]).collect()}
     assert len(first) == min(n, 600)
     assert first == {r.id for r in sample_rows(rows.repartition(7), n, ["id"]).collect()}
+
+
+def test_times_follow_the_wall_clock_in_any_zone(spark):
+    """02:30 does not exist in Madrid on this day, but it is a valid local timestamp."""
+    texts = ["2024-03-31 01:30:00", "2024-03-31 02:30:00.25", "2024-03-31 03:00:00", "1969-12-31 23:59:59"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").select("id", F.to_timestamp_ntz("t").alias("ts"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
+        first = F.lit("2024-03-31 01:30:00").cast("timestamp_ntz")
+        got = df.select("id", minute_slot(F.col("ts")).alias("slot"), seconds_between(first, F.col("ts")).cast("double").alias("s")).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    base = got[0].slot
+    assert [r.slot - base for r in got[:3]] == [0, 60, 90] and got[3].slot == -1
+    assert [r.s for r in got[:3]] == [0.0, 3600.25, 5400.0]
