@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -25,16 +27,44 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see: the cluster's `spark.checkpoint.dir`.
+def single_machine_folder(spark: SparkSession) -> None:
+    """Name a temporary checkpoint folder where the session has none and all its tasks run in this process's machine."""
+    if not _folder(spark) and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartloom-"))
 
-    Only where the cluster names none (a single-machine test) a local folder is made.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+def _folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors see: the cluster's `spark.checkpoint.dir`. There is no fallback."""
+    folder = _folder(spark)
     if not folder:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartloom-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged tables, if the session is still there to do it."""
+    try:
+        jvm = spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session has ended; the folder goes with the cluster's checkpoints
+        return
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder, deleted when the driver's Python ends."""
+    path = f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
+    if path not in _RUN_FOLDERS:
+        _RUN_FOLDERS.add(path)
+        atexit.register(_drop_folder, spark, path)
+    return path
+
+
+_RUN_FOLDERS: set[str] = set()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -43,6 +73,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor re-reads the files and does not repeat the work before them.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
