@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, fingerprint, pii
+from cartloom.llm import chat, fingerprint, knn, mixing, neardup, packing, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,12 +30,28 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.report(turns.unionByName(probe))
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.report(_table(spark, folder, "documents"))
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_documents(_table(spark, folder, "documents"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_chat, op6_fingerprint)}
+    return {f.__name__: f for f in (op1_pii, op3_chat, op4_near_duplicates, op5_top_k, op6_fingerprint, op8_mixing, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
