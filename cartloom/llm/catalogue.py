@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, fingerprint, knn, mixing, neardup, packing, pii
+from cartloom.llm import chat, fingerprint, html_main, knn, language, mixing, neardup, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(_table(spark, folder, "documents"))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.report(_table(spark, folder, "documents"))
+
+
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -42,16 +46,28 @@ def op6_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.report(_table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, folder, "documents"))
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_main.extract(_table(spark, folder, "pages"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_pii, op3_chat, op4_near_duplicates, op5_top_k, op6_fingerprint, op8_mixing, op10_packing)}
+    found = (
+        op1_pii, op2_language, op3_chat, op4_near_duplicates, op5_top_k, op6_fingerprint, op7_toxicity, op8_mixing,
+        op9_main_text, op10_packing,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -337,3 +337,13 @@ def _grow(comps: DataFrame | None, links: DataFrame | None, new: DataFrame) -> t
     edges = new if links is None else links.unionByName(new)
     comps = stage(components(edges), "neardup-components")
     return comps, comps.select(F.col("component").alias("a"), F.col("id").alias("b"))
+
+
+def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """`docs` with one document of each group of near copies, the one with the smallest id.
+
+    Rows go by id: if ids are repeated, all rows of an id stay that has a row to be kept.
+    """
+    rows = near_duplicates(docs, settings).filter(F.col("doc_id").isNotNull())
+    dropped = rows.groupBy("doc_id").agg(F.max("kept").alias("stays")).filter(~F.col("stays")).select(F.col("doc_id").alias("__dropped_id"))
+    return docs.join(dropped, docs["doc_id"] == F.col("__dropped_id"), "left_anti")
