@@ -33,19 +33,3 @@ def finite_or_zero(value: Column) -> Column:
     """0 in place of NaN, an infinity, or the null that `ratio` gives for a zero divisor."""
     bad = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
     return F.when(bad, F.lit(0.0)).otherwise(value)
-
-
-def value_slot(value: Column, steps: int = 256) -> Column:
-    """Whole number that never falls as `value` rises; `steps` slots per doubling.
-
-    The number of different slots is bounded by the exponent range of a double, whatever the data.
-    """
-    v = value.cast("double")
-    size = F.floor(F.log2(F.lit(1.0) + F.abs(v)) * F.lit(steps)).cast("long")
-    return F.when(v < 0, -size).otherwise(size)
-
-
-def minute_slot(ts: Column) -> Column:
-    """Minutes since 1970 on the local clock: one slot per minute of the covered time span."""
-    days = F.unix_date(ts.cast("date")).cast("long")
-    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)

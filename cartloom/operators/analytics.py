@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.operators.ordered import HOT_ROWS, windowed
-from cartloom.operators.sessions import SLOT, with_session_slots
+from cartloom.operators.ordered import windowed
 
 
 def lowest_family_product(products: DataFrame, color: int = 3, *, strict_global_min: bool = False) -> DataFrame:
@@ -49,7 +48,7 @@ def least_frequent_user(users: DataFrame, m_below: float = 500, *, distinct_user
     )
 
 
-def before_first_add(interactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def before_first_add(interactions: DataFrame) -> DataFrame:
     """(session_id, partnumber, before, group_adds) for every row of a product added at least once.
 
     `before` says that the row lies before the first add of its (session, product), `group_adds`
@@ -58,24 +57,21 @@ def before_first_add(interactions: DataFrame, hot_rows: int = HOT_ROWS) -> DataF
     rows = interactions.select("session_id", "partnumber", "add_to_cart", "timestamp_local", "interaction_id")
     added = rows.filter(F.col("add_to_cart") == 1).select("partnumber").distinct()
     label = F.coalesce(F.col("add_to_cart").cast("bigint"), F.lit(0).cast("bigint"))
-    tagged = with_session_slots(rows.withColumn("_label", label), hot_rows)
     marked = windowed(
-        tagged.join(added, "partnumber", "left_semi"), ["session_id", "partnumber"],
-        [F.col("timestamp_local"), F.col("interaction_id")], slot=SLOT,
+        rows.withColumn("_label", label).join(added, "partnumber", "left_semi"), ["session_id", "partnumber"],
+        [F.col("timestamp_local"), F.col("interaction_id")],
         running={"_adds": F.col("_label")}, overall={"group_adds": ("sum", "_label")},
     )
     return marked.select("session_id", "partnumber", (F.col("_adds") == 0).alias("before"), "group_adds")
 
 
-def avg_visits_before_add(
-    interactions: DataFrame, *, grain: str = "product", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def avg_visits_before_add(interactions: DataFrame, *, grain: str = "product") -> DataFrame:
     """Q3: mean number of visits before the first add, two decimals.
 
     grain "product": visits summed per product over all sessions, products without any left out.
     grain "session_product": over the (session, product) groups that have an add.
     """
-    rows = before_first_add(interactions, hot_rows)
+    rows = before_first_add(interactions)
     if grain == "product":
         per = rows.filter("before").groupBy("partnumber").agg(F.count(F.lit(1)).alias("visits"))
     elif grain == "session_product":

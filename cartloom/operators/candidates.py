@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import minute_slot, steady_mean
+from cartloom.functions.numbers import steady_mean
 from cartloom.operators.interactions import ANONYMOUS
-from cartloom.operators.ordered import HOT_ROWS, windowed, with_hot_slots
-from cartloom.operators.sessions import SESSION_CONTEXT, SLOT, mask_unknown_users
+from cartloom.operators.ordered import windowed
+from cartloom.operators.sessions import SESSION_CONTEXT, mask_unknown_users
 
 
 def global_candidates(train: DataFrame, n: int | None, metric: str = "interactions") -> DataFrame:
@@ -140,7 +140,7 @@ def fill_candidates(extended: DataFrame) -> DataFrame:
     the latest value that is not null.
     """
     real = extended.filter(F.col("synthetic_candidate").isNull())
-    back = [c for c in (*BACK_FILLED, SLOT) if c in extended.columns]
+    back = [c for c in BACK_FILLED if c in extended.columns]
     mean = [c for c in MEAN_FILLED if c in extended.columns]
     tops = [c for c in SESSION_CONTEXT if c in extended.columns]
     place = F.struct("timestamp_local", "interaction_id")
@@ -154,34 +154,23 @@ def fill_candidates(extended: DataFrame) -> DataFrame:
     return real.unionByName(filled.select(*extended.columns))
 
 
-def candidate_touch_index(filled: DataFrame, *, order: str = "latest_first", hot_rows: int = HOT_ROWS) -> DataFrame:
+def candidate_touch_index(filled: DataFrame, *, order: str = "latest_first") -> DataFrame:
     """`product_interaction_count` on a test frame with candidates.
 
     order "latest_first": candidates count first, then real rows from the latest to the earliest.
     order "by_time": real rows by time as in train, candidates after them.
     """
     synthetic = F.col("synthetic_candidate").isNotNull()
-    kept = SLOT in filled.columns
-    marked = filled if kept else with_hot_slots(
-        filled, ["session_id"], minute_slot(F.col("timestamp_local")), name=SLOT, hot_rows=hot_rows
-    )
-    # Candidates lie in a slot range of their own, at the end of the order that puts them last.
-    behind = F.when(synthetic, F.col(SLOT) + F.lit(1 << 40)).otherwise(F.col(SLOT))
-    marked = marked.withColumn(SLOT, behind)
     ties = [F.col("country").asc_nulls_first(), F.col("user_id").asc_nulls_first()]
     if order == "latest_first":
         by = [synthetic.desc(), F.col("timestamp_local").desc(), F.col("interaction_id").desc(), *ties]
     elif order == "by_time":
         by = [synthetic.asc(), F.col("timestamp_local").asc(), F.col("interaction_id").asc(), *ties]
     else:
-        raise ValueError("order must be 'reference' or 'plan'")
-    out = windowed(
-        marked, ["session_id", "partnumber"], by, slot=SLOT, slots_fall=order == "latest_first",
-        running={"product_interaction_count": F.lit(1)},
-    )
-    return out.drop(SLOT)
+        raise ValueError("order must be 'latest_first' or 'by_time'")
+    return windowed(filled, ["session_id", "partnumber"], by, running={"product_interaction_count": F.lit(1)})
 
 
-def finish_test(filled: DataFrame, *, order: str = "latest_first", hot_rows: int = HOT_ROWS) -> DataFrame:
+def finish_test(filled: DataFrame, *, order: str = "latest_first") -> DataFrame:
     """Filled test rows with touch index and -1 masks."""
-    return mask_unknown_users(candidate_touch_index(filled, order=order, hot_rows=hot_rows))
+    return mask_unknown_users(candidate_touch_index(filled, order=order))

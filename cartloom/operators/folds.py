@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.hashing import draw, draw_number, draw_slot
+from cartloom.functions.hashing import draw, draw_number
 from cartloom.operators.ordered import windowed
 from cartloom.operators.sampling import draw_rows
 
@@ -57,15 +57,11 @@ def group_folds(df: DataFrame, k: int = 5, seed: int = 23) -> DataFrame:
 def stratified_session_folds(df: DataFrame, k: int = 5, seed: int = 23) -> DataFrame:
     """(session_id, adds, fold): sessions with equally many adds are dealt out in random order.
 
-    The order inside a stratum is built in draw slots, as one stratum can hold most sessions.
+    One stratum can hold most sessions, so the order inside a stratum is built by range.
     """
     sessions = df.groupBy("session_id").agg(F.sum(F.col("add_to_cart").cast("bigint")).alias("adds"))
-    drawn = sessions.withColumn("_draw", draw("session_id", seed=seed)).withColumn(
-        "_slot", draw_slot(F.col("_draw"))
-    )
-    dealt = windowed(
-        drawn, ["adds"], [F.col("_draw"), F.col("session_id")], slot="_slot", running={"_nth": F.lit(1)}
-    )
+    drawn = sessions.withColumn("_draw", draw("session_id", seed=seed))
+    dealt = windowed(drawn, ["adds"], [F.col("_draw"), F.col("session_id")], running={"_nth": F.lit(1)})
     return dealt.select("session_id", "adds", F.pmod(F.col("_nth") - 1, F.lit(k)).cast("int").alias("fold"))
 
 

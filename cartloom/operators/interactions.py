@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import minute_slot
-from cartloom.operators.ordered import HOT_ROWS, windowed, with_hot_slots
+from cartloom.operators.ordered import windowed
 
 ANONYMOUS = -1
 
@@ -67,42 +66,21 @@ def join_splits(train: DataFrame, test: DataFrame) -> DataFrame:
     )
 
 
-USER_SLOT = "user_slot"
-
-
-def with_user_slots(both: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Tag the rows of hot users with their minute, test minutes behind all train minutes.
-
-    Anonymous rows are not one user that needs ordering: they are dealt out over 65,536 slots.
-    """
-    known = F.col("user_id") != ANONYMOUS
-    minute = minute_slot(F.col("timestamp_local")) + F.when(F.col("flag") == 0, 1 << 40).otherwise(0)
-    marked = with_hot_slots(
-        both, ["user_id"], minute, name=USER_SLOT, base=both.filter(known), hot_rows=hot_rows
-    )
-    spread = F.pmod(F.xxhash64("interaction_id"), F.lit(1 << 16))
-    return marked.withColumn(USER_SLOT, F.when(known, F.col(USER_SLOT)).otherwise(spread))
-
-
 def running_counts(
     both: DataFrame,
     *,
     strict_prior: bool = False,
     carry_forward: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Running cart additions and interactions of each user, train before test, by time.
 
     The current row is included unless `strict_prior`. Rows without a label show 0 additions,
     or the user's total so far with `carry_forward`. Anonymous rows (-1) get -1.
     """
-    marked = both if USER_SLOT in both.columns else with_user_slots(both, hot_rows)
     known = F.col("user_id") != ANONYMOUS
     label = F.coalesce(F.col("add_to_cart").cast("bigint"), F.lit(0).cast("bigint"))
     out = windowed(
-        marked, ["user_id"],
-        [F.col("flag").desc(), F.col("timestamp_local"), F.col("interaction_id")],
-        slot=USER_SLOT, base=marked.filter(known),
+        both, ["user_id"], [F.col("flag").desc(), F.col("timestamp_local"), F.col("interaction_id")],
         running={"_adds": label, "_rows": F.lit(1)},
     )
     adds, rows = F.col("_adds"), F.col("_rows")
@@ -113,7 +91,7 @@ def running_counts(
     return out.withColumns({
         "user_previous_cart_additions": F.when(known, adds).otherwise(F.lit(-1)).cast("bigint"),
         "user_previous_interactions": F.when(known, rows).otherwise(F.lit(-1)).cast("bigint"),
-    }).drop(USER_SLOT, "_adds", "_rows")
+    }).drop("_adds", "_rows")
 
 
 def user_running_counts(train: DataFrame, test: DataFrame, **options) -> tuple[DataFrame, DataFrame]:

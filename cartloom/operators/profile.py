@@ -122,12 +122,12 @@ NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.Do
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
-    """Count, mean, standard deviation, minimum, exact quartiles and maximum per numeric column."""
+    """Count, mean, standard deviation, minimum, exact quartiles and maximum per numeric column, without nulls and NaN."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMBERS)]
     pairs = F.explode(F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.col(n).cast("double").alias("value")) for n in names
     ]))
-    values = df.select(pairs.alias("_p")).select("_p.*").filter(F.col("value").isNotNull())
+    values = df.select(pairs.alias("_p")).select("_p.*").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     basic = values.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),

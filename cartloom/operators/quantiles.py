@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import value_slot
-from cartloom.operators.ordered import windowed
+from cartloom.operators.ordered import same_keys, windowed
 
 
 def cumulative_counts(
@@ -21,16 +20,19 @@ def cumulative_counts(
 ) -> DataFrame:
     """One row per (keys, value): `n` rows, and `upto` = rows at or before it in value order.
 
-    Equal values are merged before anything is sorted; the order is then built in value slots.
-    With `weight`, a row stands for that many rows.
+    Equal values are merged before anything is sorted. Nulls and NaN are no values and left out.
+    With `weight`, a row stands for that many rows. Null keys are keys.
     """
     rows = F.sum(weight) if weight else F.count(F.lit(1))
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias("n"))
-    hist = hist.withColumn("_slot", value_slot(F.col(value)))
+    hist = df.filter(is_value(df, value)).groupBy(*keys, value).agg(rows.alias("n"))
     order = [F.col(value).desc() if falling else F.col(value).asc()]
-    return windowed(
-        hist, keys, order, slot="_slot", slots_fall=falling, running={"upto": F.col("n")}
-    ).drop("_slot")
+    return windowed(hist, keys, order, running={"upto": F.col("n")})
+
+
+def is_value(df: DataFrame, name: str) -> Column:
+    """Neither null nor NaN."""
+    column = F.col(name)
+    return column.isNotNull() & ~F.isnan(column) if dict(df.dtypes)[name] in ("float", "double") else column.isNotNull()
 
 
 def exact_quantiles(
@@ -44,9 +46,9 @@ def exact_quantiles(
     """`keys`, `n`, and `edges`: the linearly interpolated quantiles, in the order asked for."""
     steps = cumulative_counts(df, keys, value, weight=weight)
     steps = steps.withColumn("_v", F.col(value).cast("double"))
-    rows = F.sum(F.when(F.col(value).isNotNull(), F.col(weight))) if weight else F.count(value)
+    rows = F.sum(F.when(is_value(df, value), F.col(weight))) if weight else F.count_if(is_value(df, value))
     totals = df.groupBy(*keys).agg(rows.alias("_total"))
-    joined = steps.join(totals, list(keys)) if keys else steps.withColumn("_total", totals.select("_total").scalar())
+    joined = same_keys(steps, totals, keys) if keys else steps.withColumn("_total", totals.select("_total").scalar())
     picks: list[Column] = []
     for i, p in enumerate(probabilities):
         position = F.lit(float(p)) * (F.col("_total") - 1)

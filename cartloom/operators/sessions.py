@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.calendar import day_frame, iso_weekday
-from cartloom.functions.numbers import minute_slot, rounded, seconds_between
-from cartloom.operators.ordered import HOT_ROWS, windowed, with_hot_slots
-
-SLOT = "session_slot"
+from cartloom.functions.numbers import rounded, seconds_between
+from cartloom.operators.ordered import windowed
 
 
 def with_timestamps(df: DataFrame) -> DataFrame:
@@ -23,12 +21,16 @@ def with_timestamps(df: DataFrame) -> DataFrame:
 
 def session_aggregates(interactions: DataFrame) -> DataFrame:
     """First and last time, adds and rows per (user, session): combined in each task first."""
-    return interactions.groupBy("user_id", "session_id").agg(
+    return interactions.groupBy("user_id", "session_id").agg(*session_sums())
+
+
+def session_sums() -> list[Column]:
+    return [
         F.min("timestamp_local").alias("first_seen"),
         F.max("timestamp_local").alias("last_seen"),
         F.sum(F.col("add_to_cart").cast("bigint")).alias("adds"),
         F.count(F.lit(1)).alias("rows"),
-    )
+    ]
 
 
 def session_metric_columns() -> list[Column]:
@@ -47,33 +49,19 @@ def session_metrics(interactions: DataFrame, user_id: int | None = None) -> Data
     """Duration in seconds and percentage of cart additions of each session, by user and session.
 
     `user_id` keeps one user (an unknown one gives an empty frame of the same columns); without
-    it all known users are done in one job.
+    it all known users are done in one job. Sorted only for one user.
     """
     rows = with_timestamps(interactions)
     rows = rows.filter(F.col("user_id").isNotNull() if user_id is None else F.col("user_id") == user_id)
-    return session_aggregates(rows).select(*session_metric_columns()).orderBy("user_id", "session_id")
+    metrics = session_aggregates(rows).select(*session_metric_columns())
+    return metrics if user_id is None else metrics.orderBy("session_id")
 
 
-def with_session_slots(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Tag the rows of hot sessions with their minute; done once, used by all session windows."""
-    if SLOT in df.columns:
-        return df
-    return with_hot_slots(
-        df, ["session_id"], minute_slot(F.col("timestamp_local")), name=SLOT, hot_rows=hot_rows
-    )
-
-
-def session_row_features(
-    df: DataFrame, hot_rows: int = HOT_ROWS, base: DataFrame | None = None
-) -> DataFrame:
-    """Times and size of the session for every row, from one pass over one sort.
-
-    `base` is an earlier frame with the tagged rows, see `windowed`.
-    """
-    tagged = with_session_slots(df, hot_rows)
+def session_row_features(df: DataFrame) -> DataFrame:
+    """Times and size of the session for every row, from one pass over one sort."""
     ts, by = "timestamp_local", ["timestamp_local", "interaction_id"]
     wide = windowed(
-        tagged, ["session_id"], [F.col(c) for c in by], slot=SLOT, position=by, base=base,
+        df, ["session_id"], [F.col(c) for c in by], position=by,
         previous={"_before": ts}, following={"_after": ts},
         overall={
             "_first": ("min", ts), "_last": ("max", ts),
@@ -88,9 +76,9 @@ def session_row_features(
     }).drop("_before", "_after", "_first", "_last")
 
 
-def session_time_features(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def session_time_features(df: DataFrame) -> DataFrame:
     """Seconds since the row before, length of the session, seconds to the row after."""
-    return session_row_features(df, hot_rows).drop("total_session_interactions", SLOT)
+    return session_row_features(df).drop("total_session_interactions")
 
 
 def session_size(df: DataFrame) -> DataFrame:
@@ -109,16 +97,12 @@ def calendar_features(df: DataFrame) -> DataFrame:
     })
 
 
-def product_touch_index(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def product_touch_index(df: DataFrame) -> DataFrame:
     """`product_interaction_count`: the row is the nth of its (session, product), by time."""
-    kept = SLOT in df.columns
-    tagged = with_session_slots(df, hot_rows)
-    out = windowed(
-        tagged, ["session_id", "partnumber"],
-        [F.col("timestamp_local"), F.col("interaction_id")], slot=SLOT,
+    return windowed(
+        df, ["session_id", "partnumber"], [F.col("timestamp_local"), F.col("interaction_id")],
         running={"product_interaction_count": F.lit(1)},
     )
-    return out if kept else out.drop(SLOT)
 
 
 def fill_session_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:

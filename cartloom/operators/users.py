@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.numbers import finite_or_zero, ratio, steady_mean
+from cartloom.operators.ordered import same_keys
 from cartloom.operators.quantiles import cumulative_counts, exact_quantiles
 from cartloom.session import stage
 
@@ -84,17 +85,6 @@ def user_flags(users: DataFrame) -> DataFrame:
     return flagged.drop("_all")
 
 
-def average_rank(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """`df` with the rank of `value` inside `key`: highest first, equal values share their mean rank.
-
-    Ranks are built on the (key, value) counts, so a key with a third of all rows only costs as
-    much as it has different values, and those are spread over value slots.
-    """
-    steps = cumulative_counts(df, [key], value, falling=True)
-    ranks = steps.select(key, value, (F.col("upto") - (F.col("n") - 1) / F.lit(2.0)).alias(out))
-    return df.join(ranks, [key, value], "left")
-
-
 def rank_table(users: DataFrame, values: Sequence[str] = ("R", "F", "M")) -> DataFrame:
     """(metric, user_country, value, n, rank) for all metrics from one pass: the mean-method rank."""
     pairs = F.explode(F.array(*[
@@ -115,7 +105,7 @@ def _with_rank_columns(users: DataFrame, ranks: DataFrame, values: Sequence[str]
             *[c.alias(f"{value.lower()}_{name}") for name, c in columns.items()],
         )
         out = out.withColumn("_value", F.col(value).cast("double"))
-        out = out.join(own, ["user_country", "_value"], "left").drop("_value")
+        out = same_keys(out, own, ["user_country", "_value"], "left").drop("_value")
     return out
 
 
@@ -143,7 +133,7 @@ def rfm_segments(
     edges = exact_quantiles(ranks, keys, "rank", QUINTILES, weight="n").drop("n")
     segment = F.lit(1) + F.size(F.filter(F.array_distinct("edges"), lambda e: F.col("rank") > e))
     return _with_rank_columns(
-        users, ranks.join(F.broadcast(edges), keys), values,
+        users, same_keys(ranks, F.broadcast(edges), keys), values,
         {"segment": segment.cast("tinyint"), "rank_in_country": F.col("rank").cast("int")},
     )
 

@@ -189,11 +189,12 @@ _add("q6_families_outside_home", "unique_families", lambda d: A.families_outside
 _add("q7_top_pagetype", "family pagetype", lambda d: A.top_pagetype_per_family(d.train, d.products, *JANUARY))
 
 
-@entry("answers", "query:s key:s value:d")
+@entry("answers", "query:s key:s value:s")
 def _answers(d: Data) -> DataFrame:
     return writers.answer_rows({
         "query_1": A.lowest_family_product(d.products),
         "query_2": A.least_frequent_user(d.users, 500_000),
+        "query_3": A.avg_visits_before_add(d.train),
         "query_4": A.top_device_discounted_adds(d.train, d.products),
         "query_5": A.top_user_by_distinct_products(d.train, d.users),
         "query_6": A.families_outside_home(d.train, d.users, d.products),
@@ -257,9 +258,8 @@ _add("train_features", f"{ROW} add_to_cart product_interaction_count", lambda d:
 _add("assembled_train", f"interaction_id session_id partnumber add_to_cart {ROW.partition('partnumber ')[2]} "
      f"product_interaction_count {PRODUCT} {USER.partition(' ')[2]} {RATIOS} {COUNTRY} {FLAGS} {SEGMENTS} {RANKS}",
      lambda d: d.model_rows)
-_add("feature_matrix", "session_id partnumber add_to_cart width",
-     lambda d: R.feature_vector(d.model_rows).withColumn(
-         "width", F.size(R.vector_to_array("features"))))
+_add("feature_matrix", "interaction_id pos value:d",
+     lambda d: R.feature_vector(d.model_rows).select("interaction_id", F.posexplode(R.vector_to_array("features")).alias("pos", "value")))
 
 # Similarity.
 _add("top_k_similar", "partnumber rank neighbour cosine:d",
@@ -359,7 +359,7 @@ _add("test_only_keys", "session_id", lambda d: D.test_only_keys(d.train, d.test,
 _add("long_sessions", "session_id rows", lambda d: D.long_sessions(d.train, 5))
 _add("label_distribution", "add_to_cart rows share:d negative_ratio:d", lambda d: D.label_distribution(d.train))
 _add("popularity_histogram", "bin low:d high:d n",
-     lambda d: D.popularity_histogram(C.global_candidates(d.train, 500), 5, 20))
+     lambda d: D.popularity_histogram(d.popularity, 5, 20))
 _add("users_per_session", "users sessions", lambda d: D.users_per_session(d.train))
 _add("numeric_summary", "column_name:s count mean:d std:d min:d q25:d q50:d q75:d max:d", lambda d: D.numeric_summary(d.train))
 

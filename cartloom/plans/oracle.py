@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from math import log2
 
+from cartloom.operators.ranking import FEATURES, MISSING
+
 # The three model tables and the two splits.
 VIEWS = """
 v_interactions AS (
@@ -297,6 +299,15 @@ SUMMARY = (
 )
 
 # key -> (parts, SQL body)
+Q3 = f"""SELECT round(CAST(avg(n) AS DECIMAL(18,6)), 2) AS average_previous_visits
+FROM (SELECT partnumber, count(*) AS n FROM ({Q3_ROWS}) WHERE adds = 0 GROUP BY partnumber)"""
+ASSEMBLED = """SELECT * FROM train_fe
+LEFT JOIN (SELECT * EXCLUDE (embedding) FROM product_stats) USING (partnumber) LEFT JOIN user_fe USING (user_id)"""
+# The model matrix: nulls are -1, the section is its place in the alphabet (null behind all), then three flags.
+MATRIX = ", ".join(
+    "section_place" if c == "cod_section" else f"coalesce(CAST({c} AS DOUBLE), -1.0)" for c in FEATURES
+) + "".join(f", CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END" for c in MISSING.values())
+
 BODIES: dict[str, tuple[str, str]] = {
     # analytic questions
     "q1_lowest_family_product": ("views", Q1),
@@ -306,8 +317,7 @@ AND family = (SELECT min(family) FROM v_products) ORDER BY partnumber LIMIT 1"""
 AND family = (SELECT min(family) FROM v_products) HAVING count(*) > 0"""),
     "q2_least_frequent_user": ("views", Q2.format(size="count(*)")),
     "q2_distinct_users": ("views", Q2.format(size="count(DISTINCT user_id)")),
-    "q3_avg_visits_before_add": ("views", f"""SELECT round(CAST(avg(n) AS DECIMAL(18,6)), 2) AS average_previous_visits
-FROM (SELECT partnumber, count(*) AS n FROM ({Q3_ROWS}) WHERE adds = 0 GROUP BY partnumber)"""),
+    "q3_avg_visits_before_add": ("views", Q3),
     "q3_visits_per_added_group": ("views", f"""SELECT round(CAST(avg(n) AS DECIMAL(18,6)), 2) AS average_previous_visits
 FROM (SELECT session_id, partnumber, count(*) FILTER (WHERE adds = 0) AS n FROM ({Q3_ROWS}) WHERE added = 1
       GROUP BY session_id, partnumber)"""),
@@ -319,12 +329,14 @@ row_number() OVER (PARTITION BY country ORDER BY F DESC, user_id, R DESC, M DESC
 FROM v_users QUALIFY rank_in_country <= 3"""),
     "q6_families_outside_home": ("views", Q6),
     "q7_top_pagetype": ("views", Q7),
-    "answers": ("views", f"""SELECT 'query_1' AS query, 'partnumber' AS key, CAST(partnumber AS DOUBLE) AS value FROM ({Q1})
+    "answers": ("views", f"""SELECT query, key, CAST(value AS VARCHAR) AS value FROM (
+SELECT 'query_1' AS query, 'partnumber' AS key, CAST(partnumber AS BIGINT) AS value FROM ({Q1})
 UNION ALL SELECT 'query_2', 'user_id', user_id FROM ({Q2.format(size="count(*)")})
 UNION ALL SELECT 'query_4', 'device_type', device_type FROM (SELECT device_type FROM ({Q4}) ORDER BY count DESC, device_type LIMIT 1)
 UNION ALL SELECT 'query_5', 'user_id', user_id FROM ({Q5})
 UNION ALL SELECT 'query_6', 'unique_families', unique_families FROM ({Q6})
-UNION ALL SELECT 'query_7', CAST(family AS VARCHAR), pagetype FROM ({Q7})"""),
+UNION ALL SELECT 'query_7', CAST(family AS VARCHAR), pagetype FROM ({Q7}))
+UNION ALL SELECT 'query_3', 'average_previous_visits', CAST(CAST(average_previous_visits AS DOUBLE) AS VARCHAR) FROM ({Q3})"""),
     "session_metrics": ("views", METRICS.format(users="user_id IS NOT NULL")),
     "session_metrics_user": ("views", METRICS.format(users="user_id = 7")),
     # users
@@ -366,9 +378,10 @@ CASE WHEN known_user = -1 THEN -1 ELSE rows_so_far - 1 END AS user_previous_inte
     "session_size": ("views rows", "SELECT * FROM row_fe WHERE flag = 1"),
     "product_touch_index": ("views rows", "SELECT * FROM train_fe"),
     "train_features": ("views rows", "SELECT * FROM train_fe"),
-    "assembled_train": ("views users products rows", """SELECT * FROM train_fe
-LEFT JOIN (SELECT * EXCLUDE (embedding) FROM product_stats) USING (partnumber) LEFT JOIN user_fe USING (user_id)"""),
-    "feature_matrix": ("views", "SELECT session_id, partnumber, add_to_cart, 56 AS width FROM train"),
+    "assembled_train": ("views users products rows", ASSEMBLED),
+    "feature_matrix": ("views users products rows", f"""SELECT interaction_id, unnest(range({len(FEATURES) + len(MISSING)})) AS pos,
+unnest([{MATRIX}]) AS value
+FROM (SELECT *, CAST(dense_rank() OVER (ORDER BY cod_section NULLS LAST) - 1 AS DOUBLE) AS section_place FROM ({ASSEMBLED}))"""),
     # similarity
     "top_k_similar": ("views products", """SELECT partnumber, neighbour, cosine, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY partnumber ORDER BY cosine DESC, neighbour) AS rank FROM (

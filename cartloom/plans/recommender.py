@@ -13,7 +13,6 @@ from cartloom.operators import interactions as I
 from cartloom.operators import sessions as S
 from cartloom.operators.evaluate import recommend, recommendation_lists
 from cartloom.operators.folds import downsample_negatives, session_holdout, sessions_with_min_adds
-from cartloom.operators.ordered import HOT_ROWS
 from cartloom.operators.products import (
     impute_embeddings, impute_section, product_features, product_universe, restrict_products,
 )
@@ -39,7 +38,6 @@ class Options:
     negative_ratio: float | None = None
     holdout: float = 0.1
     seed: int = 23
-    hot_rows: int = HOT_ROWS
     ranker: dict = field(default_factory=dict)
 
 
@@ -52,23 +50,19 @@ PARITY = Options(
 def split_features(train: DataFrame, test: DataFrame, options: Options) -> DataFrame:
     """Both splits in one frame (`flag` 1/0) with everything that does not depend on candidates.
 
-    Sessions do not span the splits, so one pass serves both. Hot users and sessions are found
-    once, on the plain rows; the slot summaries are taken from there too.
+    Sessions do not span the splits, so one pass serves both.
     """
     train_rows, test_rows = I.impute_interactions(train), I.impute_interactions(test)
     plain = I.join_splits(train_rows, test_rows)
-    tagged = S.with_session_slots(I.with_user_slots(plain, options.hot_rows), options.hot_rows)
-    both = I.running_counts(
-        tagged, strict_prior=options.strict_prior, carry_forward=options.carry_forward
-    )
+    both = I.running_counts(plain, strict_prior=options.strict_prior, carry_forward=options.carry_forward)
     rows = I.fill_zero(I.with_cart_ratios(both, I.cart_ratio_tables(train_rows)))
-    return S.calendar_features(S.session_row_features(rows, base=tagged))
+    return S.calendar_features(S.session_row_features(rows))
 
 
 def train_features(both: DataFrame, options: Options) -> DataFrame:
     """Train rows of a written `split_features` frame, complete but for product and user columns."""
     train = both.filter(F.col("flag") == 1).drop("flag")
-    return S.mask_unknown_users(S.product_touch_index(train, options.hot_rows)).drop(S.SLOT)
+    return S.mask_unknown_users(S.product_touch_index(train))
 
 
 def extended_test(both: DataFrame, train_fe: DataFrame, similar: DataFrame, options: Options) -> DataFrame:
@@ -86,7 +80,7 @@ def extended_test(both: DataFrame, train_fe: DataFrame, similar: DataFrame, opti
 def test_features(both: DataFrame, train_fe: DataFrame, similar: DataFrame, options: Options) -> DataFrame:
     """Extended test rows, filled and finished. Written once in between, as the last step reads them twice."""
     filled = stage(C.fill_candidates(extended_test(both, train_fe, similar, options)), "test_rows")
-    return C.finish_test(filled, order=options.order, hot_rows=options.hot_rows)
+    return C.finish_test(filled, order=options.order)
 
 
 @dataclass(frozen=True)

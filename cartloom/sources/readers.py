@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,28 +26,41 @@ def load_data(
         if schema is None:
             raise ValueError("a CSV read needs a schema")
         # Header names are matched to the schema's; CSV columns may come in any order. Whole
-        # numbers are read as doubles first, as columns with gaps are often written as 24.0.
+        # numbers are read as text first, as columns with gaps are often written as 24.0.
         names = spark.read.option("header", True).csv(path).columns
         kinds = {f.name: f.dataType for f in schema.fields}
         read_as = {
-            n: T.DoubleType() if isinstance(kind, T.IntegralType) else kind for n, kind in kinds.items()
+            n: T.StringType() if isinstance(kind, T.IntegralType) else kind for n, kind in kinds.items()
         }
         ordered = T.StructType([T.StructField(n, read_as.get(n, T.StringType())) for n in names])
         df = spark.read.schema(ordered).option("header", True).option("mode", "FAILFAST").csv(path)
-        df = df.select(*[F.col(n).cast(kinds[n]).alias(n) for n in schema.names if n in names])
+        df = df.select(*[
+            (_whole(n, kinds[n]) if isinstance(kinds[n], T.IntegralType) else F.col(n)).alias(n) for n in schema.names if n in names
+        ])
     elif file_type == "parquet":
         df = spark.read.parquet(*([path] if isinstance(path, str) else path))
     else:
-        raise ValueError("Unsupported file type. Supported types are 'csv' and 'parquet'.")
+        raise ValueError(f"no reader for {file_type!r} files, only for csv and parquet")
     if select_cols:
         df = df.select(*select_cols)
     return df if n_rows is None else first_rows(df, n_rows)
 
 
-def read_products(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Products; the misspelt header `familiy` of the raw file is accepted."""
-    df = load_data(spark, path, schemas.PRODUCTS, file_type="parquet", **options)
-    return df.withColumnRenamed("familiy", "family")
+def _whole(name: str, kind: T.DataType) -> Column:
+    """Text as a whole number, exact to 38 digits; a fraction or anything but a number is an error."""
+    number = F.trim(F.col(name)).cast("decimal(38,6)")
+    wrong = F.concat(F.lit(f"{name} is no whole number: "), F.col(name))
+    return F.when(number.isNull() | (number == F.floor(number)), number).otherwise(F.raise_error(wrong)).cast(kind)
+
+
+def read_products(
+    spark: SparkSession, path: str, *, select_cols: Sequence[str] | None = None, n_rows: int | None = None
+) -> DataFrame:
+    """Products; the misspelt header `familiy` of the raw file is accepted, `select_cols` names it `family`."""
+    df = load_data(spark, path, schemas.PRODUCTS, file_type="parquet").withColumnRenamed("familiy", "family")
+    if select_cols:
+        df = df.select(*select_cols)
+    return df if n_rows is None else first_rows(df, n_rows)
 
 
 def read_user_records(spark: SparkSession, path: str) -> DataFrame:

@@ -24,15 +24,18 @@ def write_recommendations(lists: DataFrame, path: str, mode: str = "errorifexist
 
 
 def answer_rows(answers: dict[str, DataFrame]) -> DataFrame:
-    """Answer frames -> (query, key, value): one row per answer column, or per row of a 2-column map."""
+    """Answer frames -> (query, key, value): one row per answer column, or per row of a 2-column map.
+
+    Values are written out as numbers, so that whole numbers stay whole.
+    """
     parts = []
     for query, frame in answers.items():
         if len(frame.columns) == 2:
             key, value = frame.columns
-            part = frame.select(F.col(key).cast("string").alias("key"), F.col(value).cast("double").alias("value"))
+            part = frame.select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"))
         else:
             name = frame.columns[0]
-            part = frame.select(F.lit(name).alias("key"), F.col(name).cast("double").alias("value"))
+            part = frame.select(F.lit(name).alias("key"), F.col(name).cast("string").alias("value"))
         parts.append(part.select(F.lit(query).alias("query"), "key", "value"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -43,10 +46,10 @@ def answer_json(answers: dict[str, DataFrame]) -> DataFrame:
     An answer is a single value or has one entry per family, so one query is one small map.
     """
     rows = answer_rows(answers).filter(F.col("key").isNotNull())
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value"))))
-    per = rows.groupBy("query").agg(entries.alias("_map"))
-    target = F.struct(F.create_map("query", "_map").alias("target"))
-    return per.select(F.to_json(target).alias("value"))
+    per = rows.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("key", "value"))).alias("_entries"))
+    # Numbers of different kinds in one object: put together as text, names and family numbers need no escapes.
+    inside = F.array_join(F.transform("_entries", lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), F.coalesce(e["value"], F.lit("null")))), ",")
+    return per.select(F.concat(F.lit('{"target":{"'), F.col("query"), F.lit('":{'), inside, F.lit("}}}")).alias("value"))
 
 
 def write_answers(answers: dict[str, DataFrame], path: str, mode: str = "errorifexists") -> None:

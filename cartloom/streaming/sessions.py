@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom import schemas
-from cartloom.operators.sessions import session_aggregates, session_metric_columns
+from cartloom.operators.sessions import session_metric_columns, session_sums
 
 
 def read_interaction_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -18,10 +18,14 @@ def read_interaction_stream(spark: SparkSession, path: str, files_per_batch: int
     )
 
 
-def session_metrics_stream(interactions: DataFrame) -> DataFrame:
-    """The batch metrics as a running aggregation, for output mode "update" or "complete".
+def session_metrics_stream(interactions: DataFrame, *, late: str = "3 days", longest: str = "3 days") -> DataFrame:
+    """The batch metrics as a running aggregation, for output mode "append" or "update".
 
-    State is four numbers per session of a known user.
+    A session's rows lie within `longest` of midnight-aligned time, rows come at most `late` after newer
+    ones. State is four numbers per open session of a known user and ends with its time range: "append"
+    gives a session once, when no row of it can follow.
     """
-    known = interactions.filter(F.col("user_id").isNotNull())
-    return session_aggregates(known).select(*session_metric_columns())
+    known = interactions.filter(F.col("user_id").isNotNull() & F.col("timestamp_local").isNotNull())
+    timed = known.withColumn("_ts", F.col("timestamp_local").cast("timestamp")).withWatermark("_ts", late)
+    open_sessions = timed.groupBy(F.window("_ts", longest).alias("_range"), "user_id", "session_id").agg(*session_sums())
+    return open_sessions.select(*session_metric_columns())

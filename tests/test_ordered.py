@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartloom.functions.numbers import minute_slot, seconds_between
+from cartloom.functions.numbers import seconds_between
 from cartloom.operators import candidates as C
 from cartloom.operators import interactions as I
 from cartloom.operators import sessions as S
 from cartloom.operators.analytics import avg_visits_before_add
-from cartloom.operators.ordered import windowed, with_hot_slots
+from cartloom.operators.ordered import PART, dealt, windowed
 from cartloom.operators.quantiles import exact_quantiles
 from cartloom.operators.sampling import sample_rows
 
@@ -24,31 +24,78 @@ def rows(spark):
     return spark.createDataFrame(data, "k long, t long, id long, v long").cache()
 
 
-@pytest.mark.parametrize("hot_rows", [0, 150, 10_000])
+@pytest.fixture(autouse=True)
+def many_partitions(spark):
+    """Small tables in many partitions, so that keys cross borders."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 @pytest.mark.parametrize("falling", [False, True])
-def test_windowed(rows, hot_rows, falling):
+def test_windowed(rows, falling):
     sign = F.col("t").desc() if falling else F.col("t").asc()
     order = [sign, F.col("id").asc()]
-    tagged = with_hot_slots(rows, ["k"], F.floor(F.col("t") / 7), hot_rows=hot_rows)
     extra = {} if falling else {"previous": {"p": "t"}, "following": {"f": "t"}, "position": ["t", "id"]}
     got = windowed(
-        tagged, ["k"], order, slot="_slot", slots_fall=falling, running={"run": F.col("v"), "nth": F.lit(1)},
+        rows, ["k"], order, running={"run": F.col("v"), "nth": F.lit(1)},
         overall={"lo": ("min", "t"), "hi": ("max", "t"), "n": ("count", "t"), "s": ("sum", "v")}, **extra,
-    ).drop("_slot")
-    w = Window.partitionBy("k").orderBy(*order)
-    so_far, whole = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("k")
-    want = rows.withColumns({
+    )
+    same(got, plain(rows, ["k"], order, neighbours=not falling).select(*got.columns))
+
+
+def plain(rows, keys, order, neighbours=True):
+    """The same columns from windows over whole keys."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    so_far, whole = w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*keys)
+    return rows.withColumns({
         "run": F.sum("v").over(so_far), "nth": F.row_number().over(w),
-        **({} if falling else {"p": F.lag("t").over(w), "f": F.lead("t").over(w)}),
+        **({"p": F.lag("t").over(w), "f": F.lead("t").over(w)} if neighbours else {}),
         "lo": F.min("t").over(whole), "hi": F.max("t").over(whole), "n": F.count("t").over(whole), "s": F.sum("v").over(whole),
-    }).select(*got.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    })
+
+
+@pytest.mark.parametrize("kind", ["null times", "one time", "null keys", "large ids", "one key"])
+def test_nothing_is_a_special_case(spark, kind):
+    rnd = random.Random(kind)
+    data = []
+    for i in range(400):
+        k = {"null keys": rnd.choice([None, None, 1, 2]), "large ids": 4 * 10**9 + i // 3, "one key": 5}.get(kind, rnd.randrange(3))
+        t = {"null times": rnd.choice([None, None, 3, 8]), "one time": 60}.get(kind, rnd.randrange(50))
+        data.append((k, t, i, rnd.randrange(4)))
+    rows = spark.createDataFrame(data, "k long, t long, id long, v long")
+    order = [F.col("t").asc(), F.col("id").asc()]
+    got = windowed(
+        rows, ["k"], order, running={"run": F.col("v"), "nth": F.lit(1)}, previous={"p": "t"}, following={"f": "t"}, position=["t", "id"],
+        overall={"lo": ("min", "t"), "hi": ("max", "t"), "n": ("count", "t"), "s": ("sum", "v")},
+    )
+    same(got, plain(rows, ["k"], order).select(*got.columns))
+
 
+def test_one_partition_never_holds_a_hot_key(rows):
+    parts = dealt(rows, ["k"], [F.col("t"), F.col("id")]).groupBy(PART).count().collect()
+    assert len(parts) == 13 and max(r["count"] for r in parts) < 150
 
-def test_hot_keys_are_cut_only_above_the_limit(rows):
-    tagged = with_hot_slots(rows, ["k"], F.col("t"), hot_rows=150)
-    cut = {r.k for r in tagged.filter("_slot IS NOT NULL").select("k").distinct().collect()}
-    assert cut == {1}
+
+def test_source_is_read_twice_at_most(spark, tmp_path, rows):
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    plan = windowed(spark.read.parquet(path), ["k"], [F.col("id")], running={"n": F.lit(1)})._jdf.queryExecution().toString()
+    assert path not in plan
+
+
+def test_nulls_in_session_columns(clicks):
+    """Null times and null products give the same counts as plain windows."""
+    holes = clicks.withColumns({
+        "timestamp_local": F.when(F.col("interaction_id") % 3 > 0, F.col("timestamp_local")),
+        "partnumber": F.when(F.col("interaction_id") % 4 > 0, F.col("partnumber")),
+    })
+    by = Window.partitionBy("session_id", "partnumber").orderBy("timestamp_local", "interaction_id")
+    same(S.product_touch_index(holes), holes.withColumn("product_interaction_count", F.row_number().over(by)))
+    sizes = S.session_row_features(holes).select("interaction_id", "total_session_interactions")
+    same(sizes, holes.select("interaction_id", F.count("timestamp_local").over(Window.partitionBy("session_id")).alias("total_session_interactions")))
 
 
 @pytest.fixture(scope="module")
@@ -73,35 +120,40 @@ def same(a, b):
     assert left == right
 
 
-def test_session_features_do_not_depend_on_cutting(clicks):
-    same(S.session_time_features(clicks, hot_rows=0), S.session_time_features(clicks))
-    same(S.product_touch_index(clicks, hot_rows=0), S.product_touch_index(clicks))
-
-
-def test_running_counts_do_not_depend_on_cutting(clicks):
-    known = clicks.withColumn("user_id", F.coalesce("user_id", F.lit(-1)))
-    same(I.running_counts(known, hot_rows=0), I.running_counts(known))
-    strict = I.running_counts(known, strict_prior=True, carry_forward=True, hot_rows=0)
-    same(strict, I.running_counts(known, strict_prior=True, carry_forward=True))
+def in_one_partition(spark, build):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        return build()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
 
 
-@pytest.mark.parametrize("grain", ["product", "session_product"])
-def test_visits_do_not_depend_on_cutting(clicks, grain):
-    same(avg_visits_before_add(clicks, grain=grain, hot_rows=0), avg_visits_before_add(clicks, grain=grain))
+@pytest.mark.parametrize("build", [
+    S.session_time_features, S.product_touch_index, avg_visits_before_add,
+    lambda c: avg_visits_before_add(c, grain="session_product"),
+    lambda c: I.running_counts(c.withColumn("user_id", F.coalesce("user_id", F.lit(-1)))),
+    lambda c: I.running_counts(c.withColumn("user_id", F.coalesce("user_id", F.lit(-1))), strict_prior=True, carry_forward=True),
+], ids=["times", "touches", "visits", "group visits", "counts", "strict counts"])
+def test_results_do_not_depend_on_partitions(spark, clicks, build):
+    same(build(clicks), in_one_partition(spark, lambda: build(clicks)))
 
 
 @pytest.mark.parametrize("order", ["latest_first", "by_time"])
-def test_candidate_touch_index_does_not_depend_on_cutting(spark, clicks, order):
+def test_candidate_touch_index_does_not_depend_on_partitions(spark, clicks, order):
     made = clicks.select("session_id").distinct().withColumn("partnumber", F.lit(2)).withColumn(
         "synthetic_candidate", F.lit(1).cast("long"))
-    extended = S.with_session_slots(clicks, hot_rows=0).unionByName(made, allowMissingColumns=True)
-    cut = C.candidate_touch_index(C.fill_candidates(extended), order=order)
-    plain = C.candidate_touch_index(C.fill_candidates(extended.drop(S.SLOT)), order=order)
-    same(cut, plain)
-    first = plain.filter("session_id = 7 AND partnumber = 2 AND synthetic_candidate = 1").first()
+    filled = C.fill_candidates(clicks.unionByName(made, allowMissingColumns=True))
+    cut = C.candidate_touch_index(filled, order=order)
+    same(cut, in_one_partition(spark, lambda: C.candidate_touch_index(filled, order=order)))
+    first = cut.filter("session_id = 7 AND partnumber = 2 AND synthetic_candidate = 1").first()
     assert (first.product_interaction_count == 1) == (order == "latest_first")
 
 
+def test_quantiles_leave_nan_out_and_know_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, float("nan")), (None, 2.0), ("a", None), ("a", 5.0)], "g string, x double")
+    assert sorted((r.g or "", r.n, r.edges) for r in exact_quantiles(df, ["g"], "x", (0.5,)).collect()) == [("", 2, [1.5]), ("a", 1, [5.0])]
+
+
 def test_exact_quantiles_match_pandas(spark):
     rnd = random.Random(3)
     data = [(rnd.choice("aab"), rnd.choice([rnd.uniform(-50, 900), 3.0])) for _ in range(997)]
@@ -126,9 +178,7 @@ def test_times_follow_the_wall_clock_in_any_zone(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")
         first = F.lit("2024-03-31 01:30:00").cast("timestamp_ntz")
-        got = df.select("id", minute_slot(F.col("ts")).alias("slot"), seconds_between(first, F.col("ts")).cast("double").alias("s")).orderBy("id").collect()
+        got = df.select("id", seconds_between(first, F.col("ts")).cast("double").alias("s")).orderBy("id").collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    base = got[0].slot
-    assert [r.slot - base for r in got[:3]] == [0, 60, 90] and got[3].slot == -1
     assert [r.s for r in got[:3]] == [0.0, 3600.25, 5400.0]

@@ -1,6 +1,5 @@
 """Plan shapes and the way from tables to recommendations."""
 
-import dataclasses
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,7 +53,7 @@ def test_shared_folder_is_the_named_one(spark):
 
 @pytest.fixture(scope="module")
 def tables(spark, small):
-    options = REC.Options(min_adds=1, holdout=0.3, hot_rows=5, ranker={"rounds": 4, "maxDepth": 3})
+    options = REC.Options(min_adds=1, holdout=0.3, ranker={"rounds": 4, "maxDepth": 3})
     built = REC.build_tables(
         fixtures.train(spark, small), fixtures.test(spark, small), fixtures.users(spark, small), fixtures.products(spark, small), options
     )
@@ -81,14 +80,19 @@ def test_recommendations(tables):
     assert all(len(r["items"]) == len(set(r["items"])) <= 5 for r in lists)
 
 
-def test_cutting_changes_no_feature(spark, small):
+def test_partitions_change_no_feature(spark, small):
     train, test = fixtures.train(spark, small), fixtures.test(spark, small)
 
-    def rows(options):
-        both = stage(REC.split_features(train, test, options), "rows")
-        return REC.train_features(both, options).drop("session_slot")
+    def rows(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            return stage(REC.train_features(stage(REC.split_features(train, test, REC.PARITY), "rows"), REC.PARITY), "features")
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
-    cut, plain = (rows(dataclasses.replace(REC.PARITY, hot_rows=n)) for n in (2, 10**6))
+    cut, plain = rows(11), rows(1)
     columns = sorted(cut.columns)
     assert cut.select(columns).exceptAll(plain.select(columns)).count() == 0
     assert cut.count() == plain.count() == train.count()
