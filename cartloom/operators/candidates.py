@@ -77,9 +77,12 @@ def candidate_rows(
             .withColumn("source", F.lit("global"))
         )
     if by_country is not None:
+        # One array per country, a smallint: at most 65,536 rows, so the sessions stay where they are.
+        lists = by_country.groupBy("country").agg(F.collect_list("partnumber").alias("_items"))
         homes = test.select("session_id", "country").distinct()
         parts.append(
-            homes.join(by_country.select("country", "partnumber"), "country")
+            homes.join(F.broadcast(lists), "country")
+            .select("session_id", "country", F.explode("_items").alias("partnumber"))
             .withColumn("source", F.lit("country"))
         )
     if by_user is not None:

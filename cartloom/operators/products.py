@@ -47,14 +47,14 @@ def impute_embeddings(products: DataFrame) -> DataFrame:
     overall = weighted.agg(
         Summarizer.mean(array_to_vector("mean_embedding"), F.col("_weight")).alias("_mean")
     ).select(vector_to_array("_mean").alias("_mean")).scalar()
-    return (
-        products.join(means, "family", "left")
-        .withColumn(
-            "embedding",
-            F.coalesce(F.col("embedding").cast("array<double>"), F.col("mean_embedding"), overall),
-        )
-        .drop("mean_embedding")
+    # Only rows without a vector meet the means; the others are passed through without a shuffle.
+    vector = F.col("embedding").cast("array<double>")
+    present = products.filter(F.col("embedding").isNotNull()).withColumn("embedding", vector)
+    missing = (
+        products.filter(F.col("embedding").isNull()).drop("embedding").join(means, "family", "left")
+        .withColumn("embedding", F.coalesce("mean_embedding", overall)).drop("mean_embedding")
     )
+    return present.unionByName(missing)
 
 
 def impute_section(products: DataFrame) -> DataFrame:

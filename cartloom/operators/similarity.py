@@ -50,6 +50,19 @@ def _block_pairs(reps: DataFrame, block_rows: int) -> DataFrame:
 
 def _nearest_reps(reps: DataFrame, k: int, block_rows: int) -> DataFrame:
     """(rep, other, cosine): the k most similar vectors of each, itself included."""
+    local = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
+        _block_kernel(k), "rep long, other long, cosine double"
+    )
+    return _best(local, k)
+
+
+def _best(local: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("rep").orderBy(F.col("cosine").desc(), "other")
+    return local.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).drop("_n")
+
+
+def _block_kernel(k: int):
+    """The k nearest in the other block (or its own) for each vector of two blocks."""
     decimals, chunk = DECIMALS, CHUNK_ROWS
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -79,19 +92,69 @@ def _nearest_reps(reps: DataFrame, k: int, block_rows: int) -> DataFrame:
                 }))
         return pd.concat(found[1:] or found, ignore_index=True)
 
-    local = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
-        kernel, "rep long, other long, cosine double"
+    return kernel
+
+
+def _hash_codes(width: int, tables: int, bits: int, seed: int):
+    """Per table one code: on which side of `bits` random planes a vector lies."""
+    planes = np.random.default_rng(seed).normal(size=(width, tables * bits))
+    powers = 1 << np.arange(bits)
+
+    def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                sides = (np.stack(pdf["unit"].to_numpy()) @ planes > 0).reshape(len(pdf), tables, bits)
+                yield pdf.assign(codes=list((sides * powers).sum(axis=2)))
+
+    return run
+
+
+def _similar_reps_lsh(reps: DataFrame, k: int, block_rows: int, tables: int, bits: int, seed: int) -> DataFrame:
+    """(rep, other, cosine): the most similar of the vectors that share a bucket in some table, itself included.
+
+    A bucket with more than `block_rows` vectors is cut into blocks of which every two meet, so none is left out.
+    """
+    width = reps.agg(F.max(F.size("embedding"))).first()[0]
+    units = with_unit_vector(reps, "embedding", "unit").select("rep", "unit")
+    if width is None:
+        return units.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
+    coded = units.mapInPandas(_hash_codes(width, tables, bits, seed), "rep long, unit array<double>, codes array<long>")
+    placed = coded.select("rep", "unit", F.posexplode("codes").alias("table", "code"))
+    sizes = placed.groupBy("table", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_blocks"))
+    # Tables and codes are few (tables * 2^bits), whatever the data.
+    blocks = placed.join(F.broadcast(sizes), ["table", "code"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
+    pairs = blocks.withColumn("_partner", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
+        "table", "code", "rep", "unit", "block", F.least("block", "_partner").alias("low"), F.greatest("block", "_partner").alias("high")
     )
-    best = Window.partitionBy("rep").orderBy(F.col("cosine").desc(), "other")
-    return local.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).drop("_n")
+    local = pairs.groupBy("table", "code", "low", "high").applyInPandas(_block_kernel(k), "rep long, other long, cosine double")
+    return _best(local.distinct(), k)
+
+
+def top_k_similar_lsh(
+    vectors: DataFrame, k: int = 10, *, tables: int = 24, bits: int = 4, block_rows: int = BLOCK_ROWS, seed: int = 23
+) -> DataFrame:
+    """Like `top_k_similar`, but neighbours are looked for only in shared random-plane buckets.
+
+    An operator of its own for many different vectors: work falls by about 2^bits / tables, recall by how
+    seldom near vectors share a bucket. Cosines of what is found are exact.
+    """
+    return top_k_similar(vectors, k, nearest=lambda reps, n: _similar_reps_lsh(reps, n, block_rows, tables, bits, seed))
+
+
+def top_k_recall(exact: DataFrame, found: DataFrame) -> DataFrame:
+    """(pairs, found, recall): how many of the exact neighbours another search found."""
+    both = exact.select("partnumber", "neighbour").join(found.select("partnumber", "neighbour", F.lit(1).alias("_hit")), ["partnumber", "neighbour"], "left")
+    counts = both.agg(F.count(F.lit(1)).alias("pairs"), F.count("_hit").alias("found"))
+    return counts.select("pairs", "found", F.try_divide(F.col("found").cast("double"), F.col("pairs").cast("double")).alias("recall"))
 
 
-def top_k_similar(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def top_k_similar(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS, nearest=None) -> DataFrame:
     """(partnumber, rank, neighbour, cosine): the k nearest products by cosine, itself left out.
 
     Ties go to the smaller product. Copies of one vector are compared once: of a group of equal
     vectors only the k + 1 smallest products can be anybody's neighbours. `vectors` must read the
-    same each time (a written table, not means that are worked out again).
+    same each time (a written table, not means that are worked out again). `nearest` may give another
+    search among the different vectors, see `top_k_similar_lsh`.
     """
     ids = vectors.filter(F.col("embedding").isNotNull()).select(
         F.col("partnumber").cast("bigint").alias("partnumber"), "embedding"
@@ -106,7 +169,7 @@ def top_k_similar(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS)
     )
     best = Window.partitionBy("rep").orderBy(F.col("cosine").desc(), "neighbour")
     lists = (
-        _nearest_reps(reps, k + 1, block_rows)
+        (nearest(reps, k + 1) if nearest else _nearest_reps(reps, k + 1, block_rows))
         .join(first, "other")
         .withColumn("_n", F.row_number().over(best))
         .filter(F.col("_n") <= k + 1)

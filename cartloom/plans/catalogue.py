@@ -13,13 +13,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartloom import schemas
 from cartloom.operators import (
     analytics as A, candidates as C, evaluate as E, folds as FO, interactions as I, products as P, profile as D,
     ranking as R, sampling as SA, sessions as S, similarity as V, users as U,
 )
 from cartloom.plans import oracle
 from cartloom.plans import recommender as REC
-from cartloom.session import stage
+from cartloom.session import new_path, stage
 from cartloom.sources import fixtures, readers, writers
 from cartloom.streaming import sessions as ST
 
@@ -264,6 +265,14 @@ _add("feature_matrix", "interaction_id pos value:d",
 # Similarity.
 _add("top_k_similar", "partnumber rank neighbour cosine:d",
      lambda d: V.top_k_similar(stage(P.impute_embeddings(d.products).select("partnumber", "embedding"), "filled")))
+
+
+@entry("top_k_lsh_recall", "pairs found recall:d")
+def _lsh_recall(d: Data) -> DataFrame:
+    filled = stage(P.impute_embeddings(d.products).select("partnumber", "embedding"), "filled")
+    return V.top_k_recall(V.top_k_similar(filled), V.top_k_similar_lsh(filled))
+
+
 _add("similar_exploded", "partnumber neighbour synthetic_candidate", lambda d: d.near)
 _add("cosine_pairs", "partnumber_a partnumber_b cosine:d copies_a copies_b", lambda d: V.cosine_pairs(d.products, 0.3))
 _add("pca_explained", "threshold:d components", lambda d: V.pca_explained(d.products))
@@ -294,6 +303,33 @@ _add("test_touch_index_by_time", f"{ROW} synthetic_candidate product_interaction
 # Learning and evaluation.
 TRAIN = ("interaction_id session_id date:a timestamp_local:t user_id country partnumber device_type pagetype "
          "add_to_cart")
+# Sources and sinks, over tables written to the shared folder.
+def _written(df: DataFrame, kind: str) -> str:
+    path = new_path(df.sparkSession, kind)
+    if kind == "csv":
+        df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    else:
+        writers.write_table(df, path)
+    return path
+
+
+@entry("csv_round_trip", TRAIN)
+def _csv_round_trip(d: Data) -> DataFrame:
+    return readers.load_data(d.spark, _written(d.train, "csv"), d.train.schema)
+
+
+_add("parquet_projection", "session_id partnumber", lambda d: readers.load_data(
+    d.spark, _written(d.train, "parquet"), file_type="parquet", select_cols=["session_id", "partnumber"]))
+_add("merged_batches", "user_id country R F M:d", lambda d: readers.merge_batches(d.spark, _written(d.users, "parquet")))
+
+
+@entry("session_metrics_streamed", METRICS)
+def _streamed(d: Data) -> DataFrame:
+    """Day by day metrics of all days that are over, by the stream run to its end."""
+    rows = ST.read_interaction_stream(d.spark, _written(d.interactions.select(*schemas.INTERACTIONS.names), "parquet"))
+    return ST.run_available(ST.session_metrics_stream(rows, late="1 day", longest="1 day"))
+
+
 _add("sessions_min_adds", TRAIN, lambda d: FO.sessions_with_min_adds(d.train, 5))
 _add("downsample", "interaction_id add_to_cart", lambda d: FO.downsample_negatives(d.train, 1.5))
 _add("random_rows", "interaction_id partnumber", lambda d: SA.sample_rows(d.train, 500, ["interaction_id"]))

@@ -14,7 +14,7 @@ from cartloom.operators import sessions as S
 from cartloom.operators.evaluate import recommend, recommendation_lists
 from cartloom.operators.folds import downsample_negatives, session_holdout, sessions_with_min_adds
 from cartloom.operators.products import (
-    impute_embeddings, impute_section, product_features, product_universe, restrict_products,
+    impute_embeddings, impute_section, normalize_embedding, product_statistics, product_universe, restrict_products,
 )
 from cartloom.operators.ranking import fit_ranker, score
 from cartloom.operators.similarity import similar_lists, top_k_similar, top_similar_candidates
@@ -96,8 +96,10 @@ def build_tables(
 ) -> Tables:
     """Engineered train, test, users and products. Each reused step is written once to the shared folder."""
     wanted = restrict_products(products, product_universe(train, test))
-    filled = stage(impute_section(impute_embeddings(wanted)), "products_filled")
-    products_fe = stage(product_features(filled), "products_fe")
+    # Sections and family columns are worked out without the wide vectors, which are joined once, by product.
+    filled = stage(impute_embeddings(wanted.select("partnumber", "family", "embedding")), "products_filled")
+    slim = product_statistics(impute_section(wanted.drop("embedding")))
+    products_fe = stage(slim.join(normalize_embedding(filled.drop("family")), "partnumber"), "products_fe")
     near = stage(similar_lists(top_k_similar(filled, 10)), "similar")
     similar = top_similar_candidates(near, options.top_similar)
     users_fe = stage(user_features(stage(dedupe_users(users), "users_one")), "users_fe")

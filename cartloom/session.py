@@ -67,12 +67,17 @@ def _run_folder(spark: SparkSession) -> str:
 _RUN_FOLDERS: set[str] = set()
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in this application's part of the shared folder."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files.
 
     Cuts the lineage: a lost executor re-reads the files and does not repeat the work before them.
     """
     spark = df.sparkSession
-    path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom import schemas
+from cartloom.session import new_path
 from cartloom.operators.sessions import session_metric_columns, session_sums
 
 
@@ -29,3 +30,14 @@ def session_metrics_stream(interactions: DataFrame, *, late: str = "3 days", lon
     timed = known.withColumn("_ts", F.col("timestamp_local").cast("timestamp")).withWatermark("_ts", late)
     open_sessions = timed.groupBy(F.window("_ts", longest).alias("_range"), "user_id", "session_id").agg(*session_sums())
     return open_sessions.select(*session_metric_columns())
+
+
+def run_available(stream: DataFrame) -> DataFrame:
+    """Run a stream over all that is there now, into files of the shared folder, and read those: what is final by then."""
+    spark, path = stream.sparkSession, new_path(stream.sparkSession, "stream")
+    query = (
+        stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-state")
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
