@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, fingerprint, html_main, knn, language, mixing, neardup, packing, pii, toxicity
+from cartloom.llm import chat, fingerprint, html_main, knn, language, mixing, neardup, oracle, packing, pii, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,4 +71,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

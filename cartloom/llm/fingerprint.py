@@ -69,7 +69,7 @@ def _spread(minima: Column) -> Column:
             F.array_repeat(none, (_bin(v) - F.coalesce(_bin(F.get(minima, i - 1)), F.lit(-1)) - 1).cast("int")), F.array(v)
         ),
     )
-    rest = F.array_repeat(none, (BINS - 1 - _bin(F.element_at(minima, -1))).cast("int"))
+    rest = F.array_repeat(none, (BINS - 1 - _bin(F.get(minima, F.size(minima) - 1))).cast("int"))
     return F.concat(F.flatten(placed), rest)
 
 

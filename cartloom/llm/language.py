@@ -119,10 +119,13 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("draw")
     )
-    each = Window.partitionBy("lang").orderBy("draw")
+    # Large languages are thinned out by hash first, to about four times what is wanted, so that little text moves.
+    counts_ = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).select(F.col("lang").alias("of"), "rows")
+    thin = rows.join(counts_, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(1 << 20)) * F.col("rows") < F.lit((1 << 20) * 4 * settings.rows))
+    each = Window.partitionBy("lang").orderBy("draw", "text")
     chosen = (
-        rows.withColumn("n", F.row_number().over(each)).filter(F.col("n") <= settings.rows)
-        .orderBy("n", "draw", "lang").limit(settings.rows).select("lang", "text")
+        thin.withColumn("n", F.row_number().over(each)).filter(F.col("n") <= settings.rows)
+        .orderBy("n", "draw", "lang", "text").limit(settings.rows).select("lang", "text")
     )
     sample = chosen.mapInArrow(_counted(settings.width), "lang string, slots array<int>, counts array<float>").collect()
     if not sample:
