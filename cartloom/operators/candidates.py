@@ -126,7 +126,7 @@ def extend_test(test: DataFrame, *, dedupe: str = "row", **sources: DataFrame |
     return test.unionByName(made, allowMissingColumns=True)
 
 
-# Taken from the session's latest real row.
+# Taken from the session's latest real row.
 BACK_FILLED = (
     "timestamp_local", "user_id", "country", "device_type", "pagetype",
     "total_session_time", "day_number", "weekday_number", "hour", "day_frame",

@@ -103,7 +103,7 @@ def user_running_counts(train: DataFrame, test: DataFrame, **options) -> tuple[D
     )
 
 
-# Columns whose nulls the frame-wide zero fill of the row features turns into 0.
+# Columns whose nulls the frame-wide zero fill of the row features turns into 0.
 ZERO_FILLED = (
     "device_cart_ratio", "country_cart_ratio", "page_cart_ratio",
     "user_previous_cart_additions", "user_previous_interactions",

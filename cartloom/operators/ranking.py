@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.operators.evaluate import ndcg_at_k, pooled_f1
-from cartloom.operators.folds import group_folds, sample_sessions
+from cartloom.operators.folds import group_folds, sample_sessions, session_holdout
 
 # The columns of the model matrix.
 FEATURES = (
@@ -106,6 +106,10 @@ RANKER = {
 }
 
 
+# Share of the sessions of a fold's rest that early stopping watches.
+STOPPING_SHARE = 0.1
+
+
 def fit_ranker(train: DataFrame, valid: DataFrame | None = None, **options) -> PipelineModel:
     """Ranker for the products of a session: session-balanced boosted trees on relevance.
 
@@ -115,9 +119,9 @@ def fit_ranker(train: DataFrame, valid: DataFrame | None = None, **options) -> P
     return fit_boosted(train, valid, balance_sessions=True, **{**RANKER, **options})
 
 
-def fit_classifier(train: DataFrame, *, rounds: int = 200, **options) -> PipelineModel:
+def fit_classifier(train: DataFrame, valid: DataFrame | None = None, *, rounds: int = 200, **options) -> PipelineModel:
     """Binary classifier for cart additions."""
-    return fit_boosted(train, rounds=rounds, **options)
+    return fit_boosted(train, valid, rounds=rounds, **options)
 
 
 def score(df: DataFrame, model: PipelineModel, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -164,12 +168,15 @@ def cross_validate_ranker(
     df: DataFrame, k: int = 5, *, share: float | None = None, seed: int = 23,
     features: Sequence[str] = FEATURES, **options,
 ) -> DataFrame:
-    """NDCG@5 by session folds, on a random `share` of the sessions if one is given."""
+    """NDCG@5 by session folds, on a random `share` of the sessions if one is given.
+
+    Each fit stops early on some of its own sessions, never on the fold it is judged by.
+    """
     if share is not None:
         df = df.join(sample_sessions(df, share, seed), "session_id", "left_semi")
     return cross_validate(
         group_folds(df, k, seed),
-        lambda part: fit_ranker(part, features=features, **options),
+        lambda part: fit_ranker(*session_holdout(part, STOPPING_SHARE, seed), features=features, **options),
         lambda scored: ndcg_at_k(scored).select("ndcg"),
         range(k), features,
     )
@@ -179,7 +186,7 @@ def cross_validate_classifier(df: DataFrame, folds: Sequence[int], *, features:
     """F1 of the positive class; `df` has the column `fold`."""
     return cross_validate(
         df,
-        lambda part: fit_classifier(part, features=features, **options),
+        lambda part: fit_classifier(*session_holdout(part, STOPPING_SHARE), features=features, **options),
         lambda scored: pooled_f1(scored).select("f1"),
         folds, features,
     )

@@ -123,7 +123,7 @@ def fill_session_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return filled.drop(*[f"_avg_{c}" for c in columns])
 
 
-# Columns a row without context takes from its session's other rows.
+# Columns a row without context takes from its session's other rows.
 SESSION_CONTEXT = (
     "known_user", "page_cart_ratio", "device_cart_ratio", "country_cart_ratio",
     "user_previous_cart_additions", "user_previous_interactions", "total_session_interactions",

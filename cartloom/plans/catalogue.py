@@ -353,14 +353,10 @@ _add("f1_score", "tp fp fn f1:d", lambda d: E.pooled_f1(d.scored))
 _add("recommend_top5", "session_id rank partnumber score", lambda d: d.top5)
 _add("recommendation_json", "value:s", lambda d: writers.recommendation_json(E.recommendation_lists(d.top5)))
 
-# Few trees: these show that the step runs, not how good a long training gets.
-QUICK = {"rounds": 3, "maxDepth": 3}
-
-
 def _ranker(d: Data):
     rows = stage(d.model_rows, "model_rows")
     fit_on, held = FO.session_holdout(FO.sessions_with_min_adds(rows, 1), 0.1)
-    return R.fit_ranker(fit_on, held, **QUICK), rows
+    return R.fit_ranker(fit_on, held), rows
 
 
 @entry("ranker_scores", "session_id interaction_id score:d prediction")
@@ -376,13 +372,13 @@ def _importance(d: Data) -> DataFrame:
 
 @entry("ranker_folds_ndcg", "fold train:d valid:d")
 def _ranker_folds(d: Data) -> DataFrame:
-    return R.cross_validate_ranker(stage(d.model_rows, "model_rows"), 2, **QUICK)
+    return R.cross_validate_ranker(stage(d.model_rows, "model_rows"))
 
 
 @entry("classifier_folds_f1", "fold train:d valid:d")
 def _classifier_folds(d: Data) -> DataFrame:
-    rows = stage(FO.stratified_group_folds(d.model_rows, 2), "model_rows")
-    return R.cross_validate_classifier(rows, range(2), **QUICK)
+    rows = stage(FO.stratified_group_folds(d.model_rows, 5), "model_rows")
+    return R.cross_validate_classifier(rows, range(5))
 
 
 # Profiles.
