@@ -4,8 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from cartloom.plans import catalogue
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 TABLES = ("customer", "orders", "part", "embeddings", "events")
 
 
@@ -18,7 +19,8 @@ def db(small):
 
 
 def test_every_sql_text_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_has_rows(spark):
