@@ -9,8 +9,10 @@ Steps, each a Spark job over the whole input:
    order), never with each other. Pairs whose minima rule the similarity out are dropped; the others are
    confirmed on their full sets. Confirmed links are joined to components. Rounds with other hubs go on
    as long as many pairs in one bucket still lie in different components and rounds still find links.
-4. What is left, the pairs of a bucket in different components, is confirmed pair by pair. So pairs
-   within a group of copies are hardly ever formed, and yet no bucket or pair is left out.
+4. What is left are pairs of a bucket in different components. In buckets of few members they are
+   confirmed pair by pair. Larger buckets are cut into blocks; a task takes two blocks, counts the common shingles of all
+   their pairs by matrix products and returns a spanning forest of the links, not the pairs. So no row stands for
+   a pair within a large group, and yet no bucket or pair is left out.
 5. Components come from alternating large-star and small-star steps over the links.
 
 Cases: a null or empty text has an empty set and is linked with nothing; texts with fewer words than a
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.llm import wordhash
+from cartloom.llm.batches import small_batches
 from cartloom.session import stage
 
 
@@ -40,6 +43,7 @@ class Settings:
     With 32 bands of 4 a pair at similarity 0.8 shares no band with probability 5e-8. `slack` is how far the
     share of equal minima may lie below the wanted similarity: 4.5 standard deviations at 128 minima.
     hubs: hubs per bucket and round. pairs_per_class: rounds go on while more pairs than that per class are open.
+    few: members of a bucket that is confirmed pair by pair; block, block_shingles: bounds of a block of a larger one.
     """
 
     words: int = 2
@@ -49,6 +53,9 @@ class Settings:
     slack: float = 0.16
     hubs: int = 3
     pairs_per_class: float = 1.0
+    few: int = 32
+    block: int = 1024
+    block_shingles: int = 1 << 20
     seed: int = 7
 
     @property
@@ -196,18 +203,86 @@ def _confirm(settings: Settings):
     return run
 
 
+def _sets(needed: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """The full sets of the classes `needed` (id), made again from their texts: (id, members)."""
+    wanted = classes.join(needed, "id", "left_semi").select("doc_id")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_set_rows(settings), "id bigint, members binary")
+    return stage(sets.join(needed, "id", "left_semi").dropDuplicates(["id"]), "neardup-sets")
+
+
+def _forest(linked: np.ndarray) -> np.ndarray:
+    """For every row of a symmetric yes/no matrix the smallest row it is connected with."""
+    label = np.arange(len(linked))
+    while True:
+        near = np.where(linked, label[None, :], len(linked)).min(axis=1)
+        new = np.minimum(label, near)
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Common members of every two sets, by products of slabs of the incidence matrix."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    keep = times[column] > 1
+    owner, column = owner[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total, width = np.zeros((len(sets), len(sets)), dtype=np.float32), 2048
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, [low, low + width]))
+        slab = np.zeros((len(sets), width), dtype=np.float32)
+        slab[owner[part], column[part] - low] = 1
+        total += slab @ slab.T
+    return total
+
+
+def _block(settings: Settings):
+    """Links between different components among the members of two blocks, as a spanning forest."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids, component = np.asarray(rows.column("id")), np.asarray(rows.column("component"))
+        sets = [np.frombuffer(m, dtype=np.uint64) for m in rows.column("members").to_pylist()]
+        sizes = np.array([len(s) for s in sets], dtype=np.float64)
+        common = _common(sets).astype(np.float64)
+        linked = 100 * common >= settings.percent * (sizes[:, None] + sizes[None, :] - common)
+        linked &= component[:, None] != component[None, :]
+        root = _forest(linked)
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": pa.array(ids[moved]), "b": pa.array(ids[root[moved]])})
+
+    return run
+
+
+def _block_links(members: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """Links within large buckets. Members: (bucket, id, component)."""
+    sets = _sets(members.select("id").distinct(), classes, docs, settings)
+    held = members.join(sets, "id")
+    load = held.groupBy("bucket").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / settings.block), F.ceil(F.sum(F.octet_length("members")) / (8 * settings.block_shingles))
+        ).cast("bigint").alias("blocks")
+    )
+    # One more partition key for each block that a block meets; a bucket of one block is sent once.
+    placed = held.join(load, "bucket").withColumn("own", F.pmod(F.xxhash64("id", F.lit(97)), "blocks"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "component", "members"
+    )
+    return pairs.groupBy("bucket", "i", "j").applyInArrow(_block(settings), "a bigint, b bigint")
+
+
 def _links(pairs: DataFrame, minima_of: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) of classes that are links."""
     left = minima_of.select(F.col("id").alias("a"), F.col("minima").alias("left"))
     right = minima_of.select(F.col("id").alias("b"), F.col("minima").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     likely = stage(both.mapInArrow(_likely(settings), "a bigint, b bigint"), "neardup-likely")
-    # Only the texts of classes in such a pair are turned into sets again.
     needed = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).distinct()
-    wanted = classes.join(needed, "id", "left_semi").select("doc_id")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = texts.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(_set_rows(settings), "id bigint, members binary")
-    sets = stage(sets.join(needed, "id", "left_semi").dropDuplicates(["id"]), "neardup-sets")
+    sets = _sets(needed, classes, docs, settings)
     full = (
         likely.join(sets.select(F.col("id").alias("a"), F.col("members").alias("left")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("members").alias("right")), "b")
@@ -292,6 +367,21 @@ def _still_open(members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, kept."""
+    # Minima and sets are large rows, and all jobs that hand them to Python run in here.
+    with small_batches(docs.sparkSession):
+        rows, final = _resolved(docs, settings)
+    same = ["set_a", "set_b", "n_shingles"]
+    least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    known = rows.join(final.join(least, "component").select(*same, "component_id"), same, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return known.select(
+        "doc_id", "n_shingles", component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def _resolved(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Rows with their set, and classes with their component."""
     rows = signed(docs, settings)
     usable = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same = ["set_a", "set_b", "n_shingles"]
@@ -312,24 +402,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         comps, links = _grow(comps, links, _links(pairs, minima_of, classes, docs, settings))
         members = stage(_still_open(_with_components(members.select("bucket", "id"), comps)), "neardup-open")
         turn, last, open_pairs = turn + 1, open_pairs, _open_pairs(members)
-        if open_pairs > 0.9 * last:
+        # Another round costs as many jobs as this one; it pays only if this one settled nearly all.
+        if open_pairs > 0.2 * last:
             break
     if open_pairs:
-        other = members.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
+        size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        sized = stage(members.join(size, "bucket"), "neardup-sized")
+        large = sized.filter(F.col("n") > settings.few).select("bucket", "id", "component")
+        few = sized.filter(F.col("n") <= settings.few)
+        other = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("other"))
         pairs = (
-            members.withColumnRenamed("id", "a").join(other, "bucket")
+            few.withColumnRenamed("id", "a").join(other, "bucket")
             .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("other"))).select("a", "b").distinct()
         )
-        comps, links = _grow(comps, links, _links(stage(pairs, "neardup-pairs"), minima_of, classes, docs, settings))
-
-    final = _with_components(classes, comps)
-    least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    known = rows.join(final.join(least, "component").select(*same, "component_id"), same, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return known.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+        new = _links(pairs, minima_of, classes, docs, settings)
+        if not large.isEmpty():
+            new = new.unionByName(_block_links(large, classes, docs, settings))
+        comps, links = _grow(comps, links, new)
+    return rows, stage(_with_components(classes, comps), "neardup-final")
 
 
 def _grow(comps: DataFrame | None, links: DataFrame | None, new: DataFrame) -> tuple[DataFrame, DataFrame]:
