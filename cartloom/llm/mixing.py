@@ -41,7 +41,7 @@ class Mix:
     most: int = 3
     block: int = 256
     slots: int = 4096
-    bucket_rows: int = 20_000
+    bucket_rows: int = 4_000
     seed: int = 11
 
 
@@ -179,7 +179,7 @@ def _placed(docs: DataFrame, mix: Mix, keep: list[str]) -> tuple[DataFrame, Plan
     starts = totals.select("__mix_rank", "__mix_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__mix_start"))
     inside = Window.partitionBy("__mix_rank", "__mix_bucket").orderBy("__mix_hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     running = ranked.withColumn("__mix_inside", F.coalesce(F.sum("__mix_size").over(inside), F.lit(0)))
-    placed = running.join(starts, ["__mix_rank", "__mix_bucket"]).select(
+    placed = running.join(starts.hint("shuffle_merge"), ["__mix_rank", "__mix_bucket"]).select(
         *[F.col(f"`{c}`") for c in keep], "__mix_rank", "__mix_total", "__mix_target",
         (F.col("__mix_start") + F.col("__mix_inside")).alias("__mix_at"), "__mix_size",
     )
@@ -206,7 +206,7 @@ def _times(placed: DataFrame, how: Plan, mix: Mix) -> DataFrame:
     start = F.greatest(F.col("block") * F.col("length"), F.col("at"))
     end = F.least((F.col("block") + 1) * F.col("length"), F.col("at") + F.col("size"))
     parts = cut.select("rank", "at", "block", (start - F.col("at")).alias("from"), (end - start).alias("words"))
-    joined = parts.join(used, ["rank", "block"])
+    joined = parts.join(used.hint("shuffle_merge"), ["rank", "block"])
     return joined.groupBy(F.col("rank").alias("__mix_rank"), F.col("at").alias("__mix_at")).agg(
         F.sum(F.col("words") * F.col("times")).alias("__mix_taken"),
         F.sort_array(F.collect_list(F.struct("from", "words", "times"))).alias("__mix_parts"),
@@ -219,7 +219,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     placed, how = _placed(slim, mix, ["doc_id"])
     placed = stage(placed, "mixing-placed")
     taken = _times(placed, how, mix).drop("__mix_parts")
-    return placed.join(taken, ["__mix_rank", "__mix_at"], "left").select(
+    return placed.join(taken.hint("shuffle_merge"), ["__mix_rank", "__mix_at"], "left").select(
         "doc_id", F.col("__mix_size").alias("size"), F.col("__mix_total").alias("source_size"), F.col("__mix_target").alias("target"),
         F.when(F.col("__mix_size") > 0, F.coalesce("__mix_taken", F.lit(0))).otherwise(0).cast("bigint").alias("taken"),
     )
@@ -274,7 +274,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     placed, how = _placed(docs, mix, docs.columns)
     placed = stage(placed, "mixing-placed")
     times = _times(placed.select("__mix_rank", "__mix_at", "__mix_size"), how, mix).select("__mix_rank", "__mix_at", "__mix_parts")
-    rows = placed.filter(F.col("__mix_size") > 0).join(times, ["__mix_rank", "__mix_at"])
+    rows = placed.filter(F.col("__mix_size") > 0).join(times.hint("shuffle_merge"), ["__mix_rank", "__mix_at"])
     chars = "n_chars" if dict(docs.dtypes).get("n_chars") == "bigint" else None
     out = rows.select(*[F.col(f"`{c}`") for c in docs.columns], "__mix_parts")
     at = docs.columns.index
