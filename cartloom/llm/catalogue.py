@@ -35,7 +35,7 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, folder, "documents"))
+    return neardup.near_duplicates(_table(spark, folder, "documents"), neardup.Settings(words=2))
 
 
 def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,6 +63,10 @@ class Settings:
         return self.bands * self.rows
 
 
+#: What stages on word shingles take, so that texts with a few scattered edits are no copies. Only op4's contract has two words.
+FIVE_WORDS = Settings(words=5)
+
+
 def _shingles(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of every text, one text after another, and where each text starts."""
     sets, counts = [], np.zeros(len(firsts), dtype=np.int64)
@@ -365,7 +369,7 @@ def _still_open(members: DataFrame) -> DataFrame:
     return members.join(mixed.filter(F.col("least") != F.col("most")).select("bucket"), "bucket", "left_semi")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def near_duplicates(docs: DataFrame, settings: Settings = FIVE_WORDS) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id, kept."""
     # Minima and sets are large rows, and all jobs that hand them to Python run in here.
     with small_batches(docs.sparkSession):
@@ -429,7 +433,7 @@ def _grow(comps: DataFrame | None, links: DataFrame | None, new: DataFrame) -> t
     return comps, comps.select(F.col("component").alias("a"), F.col("id").alias("b"))
 
 
-def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def without_copies(docs: DataFrame, settings: Settings = FIVE_WORDS) -> DataFrame:
     """`docs` with one document of each group of near copies, the one with the smallest id.
 
     Rows go by id: if ids are repeated, all rows of an id stay that has a row to be kept.

@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return neardup.without_copies(docs)
+    """One document of each group of near copies: texts that share four fifths of their runs of five words."""
+    return neardup.without_copies(docs, neardup.FIVE_WORDS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from cartloom.llm import catalogue, neardup, packing, pii
 
+from . import cases
+
 
 def test_registered():
     names = contract.queries()
@@ -26,3 +28,19 @@ def test_stages_take_effect(spark, small):
     assert mixed.count() > 0 and packed.columns[-2:] == ["sequence_id", "offset"]
     pieces = [tuple(r)[:5] for r in packing.pack(mixed).collect()]
     assert sorted(pieces) == sorted(tuple(r)[:5] for r in packed.collect())
+
+
+def test_lightly_edited_documents_stay(spark, small):
+    edits = {1: [50], 2: [10, 50], 3: [10, 40, 70], 4: [10, 30, 60, 90], 5: [10, 30, 50, 70, 90]}
+    texts = {}
+    for n, at in edits.items():
+        words = [f"g{n}w{i}" for i in range(100)]
+        texts[10 * n] = " ".join(words)
+        texts[10 * n + 1] = " ".join("edit" if i in at else w for i, w in enumerate(words))
+    copies = {}
+    for size in (2, 5):
+        sets = {n: cases.shingles(t, size) for n, t in texts.items()}
+        copies[size] = {b for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert copies == {2: {11, 21, 31, 41, 51}, 5: {11, 21}}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_copies(spark, docs, small).collect()} == set(texts) - copies[5]
