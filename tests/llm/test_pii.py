@@ -69,6 +69,23 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert [("iban" in r["spans"], "national_id" in r["spans"]) for r in rows] == [(True, False), (False, False), (False, True), (False, False)]
 
 
+def test_ibans_before_capitals_and_digits(spark):
+    numbers = [
+        "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606",
+        "MT84MALT011000012345MTLCAST001S", "DE89 37040044 0532013000",
+    ]
+    rest = 98 - int("539007547034000123" + "3535" + "00") % 97
+    numbers.append(f"ZZ{rest:02d}539007547034000123")
+    tails = ["", " Please pay", " I sent", " 2 days", " 2026", " DE89370400440532013000", ". A", "\nKonto"]
+    # How long a number of an unknown country is, can't be told before capitals and digits.
+    unsure = (" I sent", " 2 days", " 2026")
+    pairs = [(n, tail) for n in numbers for tail in tails if not (n.startswith("ZZ") and tail in unsure)]
+    for (number, tail), row in zip(pairs, run(spark, [f"to {n}{tail}" for n, tail in pairs]), strict=True):
+        assert f"iban:3:{3 + len(number)}" in row["spans"].split(","), (number, tail, row["spans"])
+    wrong = ["DE89370400440532013001 Please", "DE8937040044053201300 0Please", "xDE89370400440532013000", "DE89370400440532013000x"]
+    assert not any("iban" in r["spans"] for r in run(spark, wrong))
+
+
 def test_mask_and_odd_tables(spark):
     frame = spark.createDataFrame([(1, "é a@b.co and +1 (555) 555-0101 a1.2.3.4@x.y", "k"), (2, None, "k"), (None, "clean", "k")], "doc_id bigint, text string, spans string")
     rows = {r["doc_id"]: r for r in pii.masked(frame).collect()}
