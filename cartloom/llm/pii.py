@@ -158,14 +158,26 @@ def _steps(found: Column, gaps: Column) -> Column:
 def _spans(found: Column, gaps: Column, steps: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind from its matches, the text pieces between them and the lengths of both."""
     before = running_totals(steps)
-    spans = F.zip_with(
+
+    def nearby(gap: Column, i: Column) -> Column:
+        """The text before match i: its gap after the earlier matches and gaps that can reach so far (a match has two code points at least)."""
+        many = NEARBY // 2
+        first, count = F.greatest(i - many, F.lit(0)) + 1, F.least(i, F.lit(many))
+        earlier = F.zip_with(F.slice(gaps, first, count), F.slice(found, first, count), lambda g, m: F.concat(g, m))
+        return F.right(F.concat(F.array_join(earlier, ""), gap), F.lit(NEARBY))
+
+    parts = F.zip_with(
         F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("match"), g.alias("gap"))), before,
-        lambda x, start: F.struct(
+        lambda x, start: F.struct(x["match"].alias("match"), x["gap"].alias("gap"), (start + F.length(x["gap"])).alias("start")),
+    )
+    spans = F.transform(
+        parts,
+        lambda x, i: F.struct(
             F.lit(kind.name).alias("kind"),
-            (start + F.length(x["gap"])).alias("start"),
-            (start + F.length(x["gap"]) + F.length(x["match"])).alias("end"),
+            x["start"].alias("start"),
+            (x["start"] + F.length(x["match"])).alias("end"),
             F.when(x["match"].isNotNull() & kind.test(x["match"]),
-                   kind.base + F.when(F.right(x["gap"], F.lit(NEARBY)).rlike(kind.context), kind.lift).otherwise(0.0)
+                   kind.base + F.when(nearby(x["gap"], i).rlike(kind.context), kind.lift).otherwise(0.0)
                    ).cast("double").alias("score"),
         ),
     )

@@ -69,6 +69,19 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert [("iban" in r["spans"], "national_id" in r["spans"]) for r in rows] == [(True, False), (False, False), (False, True), (False, False)]
 
 
+def test_context_reaches_over_earlier_spans(spark):
+    texts = [
+        "SSN: 123-45-6789, 234-56-7891", "SSN 123-45-6789 234-56-7891 345-67-8912", "SSN: 000-45-6789, 234-56-7891",
+        "123-45-6789, 234-56-7891", "SSN" + " " * 37 + "123-45-6789", "SSN" + " " * 38 + "123-45-6789", "é😀 SSN\n" + "123-45-6789\n" * 5,
+    ]
+    found = [[s for s in r["spans"].split(",") if s.startswith("national_id")] for r in run(spark, texts)]
+    plain = []
+    for text in texts:
+        own = [m.span() for m in re.finditer(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", text) if not m[0].startswith("000")]
+        plain.append([f"national_id:{a}:{b}" for a, b in own if "SSN" in text[max(0, a - 40) : a]])
+    assert found == plain and [len(x) for x in plain] == [2, 3, 1, 0, 1, 0, 4]
+
+
 def test_ibans_before_capitals_and_digits(spark):
     numbers = [
         "DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606",
