@@ -195,7 +195,7 @@ def find_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
     one kind never overlap; spans of different kinds may.
     """
     # A text without any of these signs has no proposal; one cheap scan spares it the others.
-    signs = F.col(text).rlike(r"@|[0-9][\x20-]?[0-9]|[0-9]\.[0-9]")
+    signs = F.col(text).rlike(r"@|[0-9][\x20-]?[0-9]|[0-9]\.[0-9]|\+[0-9]")
     names = [f"__pii_{k.name}" for k in KINDS]
     found = docs.withColumns({
         f"{n}_{part}": F.when(signs, column)

@@ -99,6 +99,10 @@ def test_ibans_before_capitals_and_digits(spark):
     assert not any("iban" in r["spans"] for r in run(spark, wrong))
 
 
+def test_phones_with_many_separators(spark):
+    check(spark, ["+1 2 3 4 5 6 7 8", "+1(2)3(4)5(6)7(8)9", "+4 - 9 - 3 - 0 - 1 - 2 - 3 - 4", "+1(2)3"])
+
+
 def test_mask_and_odd_tables(spark):
     frame = spark.createDataFrame([(1, "é a@b.co and +1 (555) 555-0101 a1.2.3.4@x.y", "k"), (2, None, "k"), (None, "clean", "k")], "doc_id bigint, text string, spans string")
     rows = {r["doc_id"]: r for r in pii.masked(frame).collect()}
