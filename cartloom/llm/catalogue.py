@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm import chat, fingerprint, html_main, knn, language, mixing, neardup, oracle, packing, pii, toxicity
+from cartloom.llm import (
+    chat, fingerprint, html_main, knn, language, mixing, neardup, oracle, packing, phrases, pii, repair, sharding, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,10 +64,22 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(_table(spark, folder, "conversations"))
+
+
+def op13_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_pii, op2_language, op3_chat, op4_near_duplicates, op5_top_k, op6_fingerprint, op7_toxicity, op8_mixing,
-        op9_main_text, op10_packing,
+        op9_main_text, op10_packing, op11_phrases, op12_repair, op13_sharding,
     )
     return {f.__name__: f for f in found}
 

@@ -102,4 +102,37 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-SQL = {"op1_pii": OP1, "op3_chat": OP3, "op4_near_duplicates": OP4, "op5_top_k": OP5}
+#: Counts every run of one to five words.
+OP11 = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang
+), runs AS (
+  SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM pieces, (SELECT unnest(generate_series(1, 5)) AS m) WHERE len(w) >= m
+), phrases AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT p.lang, p.phrase, p.m, p.f AS a, k, array_to_string(string_split(p.phrase, ' ')[1:k], ' ') AS lft, array_to_string(string_split(p.phrase, ' ')[k + 1:], ' ') AS rgt
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM phrases WHERE m >= 2) p
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, n, k, (1000 * CAST(a AS HUGEINT) * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM cuts c JOIN phrases l ON l.lang = c.lang AND l.phrase = lft JOIN phrases r ON r.lang = c.lang AND r.phrase = rgt JOIN totals t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inner_runs AS (
+  SELECT lang, f, string_split(phrase, ' ') AS w, s, unnest(generate_series(1, m - s + 1)) AS i FROM phrases, (SELECT unnest(generate_series(2, 4)) AS s) WHERE m > s
+), covered AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS f FROM inner_runs GROUP BY ALL
+), ranked AS (
+  SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, o.phrase) AS rank, o.phrase, a, l, r, n, score
+  FROM lowest o LEFT JOIN covered c ON c.lang = o.lang AND c.phrase = o.phrase
+  WHERE c.f IS NULL OR 100 * c.f < 100 * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+SQL = {"op1_pii": OP1, "op3_chat": OP3, "op4_near_duplicates": OP4, "op5_top_k": OP5, "op11_phrases": OP11}

@@ -8,7 +8,7 @@ from . import cases
 def test_registered():
     names = contract.queries()
     assert set(catalogue.queries()) | {"pipeline"} <= set(names)
-    assert [n.split("_")[0] for n in catalogue.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in catalogue.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_take_effect(spark, small):
