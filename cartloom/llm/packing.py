@@ -3,10 +3,12 @@
 Documents are tokenised once; longer ones are cut into whole sequences and a first piece that may be
 shorter. Only the histogram of piece lengths (at most `length` numbers) goes to the driver. There a
 configuration linear program, whose variables say how often each combination of lengths fills a
-sequence, is solved by multiplicative weights: every round prices each length by how little of it is
-covered yet, and a knapsack dynamic program finds the dearest combination. The solution is rounded down, and what is left
-is packed best-fit, longest first. The result is a list of combinations with counts; every piece finds
-its place in it from its own number among the pieces of its length, so no task ever holds a group.
+sequence, is solved by multiplicative weights: every round prices each length by its share of a sequence and by how little of
+it is covered yet, and a knapsack dynamic program finds the dearest combination with each length. Rounds go on until all
+lengths are covered. The solution is rounded with a running remainder, so small amounts count, too; the pieces that rounding
+leaves over are put best-fit, longest first, into the combinations' free space and new sequences. The result is a list of
+combinations with counts; every piece finds its place in it from its own number among the pieces of its length, so no task
+ever holds a group.
 
 Cases: a null text is empty and gives one piece, the end token alone. Repeated rows and ids are packed
 row by row. Only doc_id and text are read; an empty table gives an empty result.
@@ -29,6 +31,8 @@ from cartloom.session import stage
 
 #: Fixed value: the one string that this vocabulary turns into a single id wherever it stands.
 SPECIAL = "<|endoftext|>"
+# Code points from which on the reference library takes a text.
+LONG = 250_000
 
 
 @dataclass(frozen=True)
@@ -48,7 +52,10 @@ def default_tokens() -> Tokens:
 
 
 def encoder(tokens: Tokens):
-    """text -> ids as an array. Texts with the special string take the reference library, all others a faster one."""
+    """text -> ids as an array. Texts with the special string and very long ones take the reference library, all others a faster one.
+
+    The faster one's patterns give up on a run of about a million blanks.
+    """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
@@ -59,7 +66,7 @@ def encoder(tokens: Tokens):
     exact: list[Tokenizer] = []
 
     def encode(text: str) -> np.ndarray:
-        if SPECIAL in text:
+        if SPECIAL in text or len(text) > LONG:
             if not exact:
                 exact.append(Tokenizer.from_file(tokens.vocabulary))
             return np.array(exact[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -105,8 +112,8 @@ def _cut(tokens: Tokens, with_ids: bool):
 Combination = tuple[int, tuple[tuple[int, int], ...]]  # copies, ((length, how many), ...)
 
 
-def _dearest(lengths: np.ndarray, prices: np.ndarray, space: int) -> dict[int, int]:
-    """The combination of lengths within `space` of the highest total price: unbounded knapsack."""
+def _knapsack(lengths: np.ndarray, prices: np.ndarray, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to `space` the highest total price of lengths in it, and one length of that combination (or -1)."""
     best, last = np.zeros(space + 1), np.full(space + 1, -1, dtype=np.int64)
     fitting = np.searchsorted(lengths, np.arange(space + 1), "right")
     for room in range(1, space + 1):
@@ -116,8 +123,12 @@ def _dearest(lengths: np.ndarray, prices: np.ndarray, space: int) -> dict[int, i
             at = int(worth.argmax())
             if worth[at] > best[room]:
                 best[room], last[room] = worth[at], at
+    return best, last
+
+
+def _inside(lengths: np.ndarray, last: np.ndarray, room: int) -> dict[int, int]:
+    """How many of each length are in the best combination for a room."""
     found: dict[int, int] = {}
-    room = space
     while room > 0:
         if last[room] < 0:
             room -= 1
@@ -127,35 +138,57 @@ def _dearest(lengths: np.ndarray, prices: np.ndarray, space: int) -> dict[int, i
     return found
 
 
-def _fractional(lengths: np.ndarray, counts: np.ndarray, space: int, step: float, rounds: int) -> dict[tuple, float]:
-    """Combinations and how often to use them, so that each length is covered about once."""
-    covered = np.zeros(len(lengths))
+@dataclass(frozen=True)
+class Fractions:
+    """amounts: how often to use each combination ((place of the length, how many), ...); covered: share of each length;
+    bound: no packing has fewer sequences."""
+
+    amounts: dict[tuple, float]
+    covered: np.ndarray
+    bound: float
+
+    @property
+    def value(self) -> float:
+        return sum(self.amounts.values())
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, space: int, step: float = 0.05, near: float = 0.99, sharp: float = 0.2) -> Fractions:
+    """The configuration program by multiplicative weights.
+
+    A round raises no length by more than `step`; the dearest combination is used until one of its lengths has risen so far
+    or is covered, so rounds end. Far fewer than (1 / step + 1) per length are needed, as a round uses a combination for every
+    length that has one worth `near` times the dearest. `sharp` is how fast prices fall with cover.
+    """
+    covered, bound = np.zeros(len(lengths)), 0.0
     used: dict[tuple, float] = {}
-    for _ in range(rounds):
-        if covered.min() >= 1:
-            break
-        # A length's price falls by a factor with all that covers it; longer pieces take more space.
-        weights = lengths * np.exp(-covered / step) * (covered < 1)
-        if not weights.max() > 0:
-            break
-        combination = _dearest(lengths, weights / weights.max(), space)
-        if not combination:
-            break
-        places = np.array(list(combination))
-        per_copy = np.array(list(combination.values())) / counts[places]
-        amount = min(step / per_copy.max(), float(((1 - covered[places]) / per_copy).min()))
-        if amount <= 0:
-            break
-        covered[places] += amount * per_copy
-        covered[covered > 1 - 1e-12] = 1
-        key = tuple(sorted(combination.items()))
-        used[key] = used.get(key, 0.0) + amount
-    return used
-
-
-def best_fit(counts: dict[int, int], space: int) -> list[Combination]:
-    """Best-fit decreasing over a histogram: equal bins are handled together."""
+    while (open_ := covered < 1 - 1e-9).any():
+        # A length's price falls by a factor with all that covers it.
+        prices = np.where(open_, lengths / space * np.exp(sharp * (covered[open_].min() - covered)), 0.0)
+        best, last = _knapsack(lengths, prices, space)
+        # Prices at which no combination is worth more than one sequence bound all packings from below.
+        bound = max(bound, float(counts @ prices / best[space]))
+        worth = np.where(open_, prices + best[space - lengths], 0.0)
+        ceiling = np.minimum(covered + step, 1.0)
+        for place in np.argsort(-worth, kind="stable"):
+            if worth[place] < near * best[space]:
+                break
+            combination = _inside(lengths, last, space - int(lengths[place]))
+            combination[int(place)] = combination.get(int(place), 0) + 1
+            places = np.array(list(combination))
+            per_copy = np.array(list(combination.values())) / counts[places]
+            amount = float(((ceiling[places] - covered[places]) / per_copy).min())
+            if amount > 1e-12:
+                covered[places] += amount * per_copy
+                key = tuple(sorted(combination.items()))
+                used[key] = used.get(key, 0.0) + amount
+    return Fractions(used, covered, bound)
+
+
+def best_fit(counts: dict[int, int], space: int, begun: list[tuple[int, tuple[int, ...]]] | None = None) -> list[Combination]:
+    """Best-fit decreasing over a histogram, into bins already begun (copies, lengths inside) and new ones: equal bins are handled together."""
     open_bins: dict[int, list[tuple[int, tuple[int, ...]]]] = {}
+    for copies, inside in begun or []:
+        open_bins.setdefault(space - sum(inside), []).append((copies, inside))
     for length in sorted(counts, reverse=True):
         left = counts[length]
         while left:
@@ -180,7 +213,22 @@ def best_fit(counts: dict[int, int], space: int) -> list[Combination]:
     return [(copies, key) for key, copies in sorted(merged.items())]
 
 
-def combinations(histogram: dict[int, int], space: int, step: float = 0.1, rounds: int = 1500) -> list[Combination]:
+def rounded(solution: Fractions, lengths: np.ndarray, counts: dict[int, int]) -> tuple[list[tuple[int, tuple[int, ...]]], dict[int, int]]:
+    """Whole copies of the combinations (copies, lengths inside), never more than there are pieces, and the pieces left over."""
+    left, rest = dict(counts), 0.5
+    out: list[tuple[int, tuple[int, ...]]] = []
+    for key, amount in solution.amounts.items():
+        rest += amount
+        copies = min(int(rest), *(left[int(lengths[i])] // m for i, m in key))
+        rest -= int(rest)
+        if copies:
+            out.append((copies, tuple(int(lengths[i]) for i, m in key for _ in range(m))))
+            for i, m in key:
+                left[int(lengths[i])] -= copies * m
+    return out, left
+
+
+def combinations(histogram: dict[int, int], space: int, step: float = 0.05) -> list[Combination]:
     """Combinations with copies that hold every piece of the histogram exactly once."""
     whole = [(histogram[space], ((space, 1),))] if histogram.get(space) else []
     rest = {n: c for n, c in histogram.items() if c and n < space}
@@ -188,20 +236,8 @@ def combinations(histogram: dict[int, int], space: int, step: float = 0.1, round
         return whole
     lengths = np.array(sorted(rest))
     counts = np.array([rest[int(n)] for n in lengths], dtype=np.float64)
-    left = dict(rest)
-    rounded: list[Combination] = []
-    solution = _fractional(lengths, counts, space, step, rounds)
-    # Fullest first; never more than there are pieces.
-    for key, amount in sorted(solution.items(), key=lambda x: (-sum(lengths[i] * m for i, m in x[0]), -x[1])):
-        copies = min(int(amount + 1e-9), *(left[int(lengths[i])] // m for i, m in key))
-        if copies:
-            rounded.append((copies, tuple((int(lengths[i]), m) for i, m in key)))
-            for i, m in key:
-                left[int(lengths[i])] -= copies * m
-    rounded += best_fit({n: c for n, c in left.items() if c}, space)
-    plain = best_fit(rest, space)
-    fewer = min(rounded, plain, key=lambda found: sum(copies for copies, _ in found))
-    return whole + fewer
+    begun, left = rounded(solve(lengths, counts, space, step), lengths, rest)
+    return whole + best_fit({n: c for n, c in left.items() if c}, space, begun)
 
 
 def _places(found: list[Combination]) -> dict[int, np.ndarray]:
