@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm import wordhash
+from cartloom.llm.batches import in_one_task
 
 UNKNOWN = "und"
 
@@ -114,28 +115,37 @@ def _counted(width: int):
     return run
 
 
-def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """A model from rows (text, lang). The rows used are the first ones by hash in each language, as many of each as possible."""
+def _sample(labelled: DataFrame, settings: Settings) -> DataFrame:
+    """At most Settings.rows different texts (lang, text): the first ones by hash in each language, as many of each as possible.
+
+    Chosen by hashes alone, a text that is there often counting once; only the texts chosen leave their tasks.
+    """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("draw")
     )
-    # Large languages are thinned out by hash first, to about four times what is wanted, so that little text moves.
-    counts_ = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).select(F.col("lang").alias("of"), "rows")
-    thin = rows.join(counts_, F.col("lang") == F.col("of")).filter(F.pmod("draw", F.lit(1 << 20)) * F.col("rows") < F.lit((1 << 20) * 4 * settings.rows))
-    each = Window.partitionBy("lang").orderBy("draw", "text")
-    chosen = (
-        thin.withColumn("n", F.row_number().over(each)).filter(F.col("n") <= settings.rows)
-        .orderBy("n", "draw", "lang", "text").limit(settings.rows).select("lang", "text")
-    )
-    sample = chosen.mapInArrow(_counted(settings.width), "lang string, slots array<int>, counts array<float>").collect()
-    if not sample:
-        return None
-    raw = np.zeros((len(sample), settings.width), dtype=np.float32)
-    for i, r in enumerate(sample):
-        raw[i, r["slots"]] = r["counts"]
+    each = Window.partitionBy("lang").orderBy("draw")
+    ranked = rows.select("lang", "draw").distinct().withColumn("n", F.row_number().over(each)).filter(F.col("n") <= settings.rows)
+    chosen = ranked.orderBy("n", "draw", "lang").limit(settings.rows)
+    # At most Settings.rows hashes, hence the hint. One text stays of each, put together in the tasks first.
+    texts = rows.join(F.broadcast(chosen.drop("n")), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+    return texts.select("lang", "text", "draw")
+
+
+def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
+    """A model from rows (text, lang), fitted in one task on a sample of at most Settings.rows texts."""
+    kinds = "lang string, slots array<int>, counts array<float>"
+    counted = _sample(labelled, settings).repartition(16).mapInArrow(_counted(settings.width), kinds)
+    return in_one_task(counted.orderBy("lang", F.xxhash64("slots", "counts"), "slots").limit(settings.rows), lambda sample: _fitted(sample, settings))
+
+
+def _fitted(sample: pa.Table, settings: Settings) -> Model:
+    raw = np.zeros((sample.num_rows, settings.width), dtype=np.float32)
+    for i, (slots, found) in enumerate(zip(sample.column("slots"), sample.column("counts"), strict=True)):
+        raw[i, slots.values.to_numpy()] = found.values.to_numpy()
     idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    points = vectors(raw, idf)
-    labels = np.array([r["lang"] for r in sample])
+    points = vectors(raw, idf).astype(np.float32)
+    del raw
+    labels = np.array(sample.column("lang").to_pylist())
     names: list[str] = []
     centres: list[np.ndarray] = []
     for number, name in enumerate(sorted(set(labels.tolist()))):

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom.llm import wordhash
+from cartloom.llm.batches import in_one_task
 from cartloom.llm.language import fold
 
 
@@ -268,16 +269,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     bound = settings.views * settings.longest * 4
     rows = (
         joined.mapInArrow(_tokenised(settings), "slots binary, lang string, toxic int")
-        .filter(F.octet_length("slots") <= bound).orderBy(F.xxhash64("slots", "toxic")).limit(settings.rows).collect()
+        .filter(F.octet_length("slots") <= bound).orderBy(F.xxhash64("slots", "toxic"), "slots", "toxic", "lang").limit(settings.rows)
     )
-    if len({r["toxic"] for r in rows}) < 2:
+    return in_one_task(rows, lambda sample: _fitted(sample, share, settings))
+
+
+def _fitted(sample: pa.Table, share: float, settings: Settings) -> Model | None:
+    marks = sample.column("toxic").to_pylist()
+    if len(set(marks)) < 2:
         return None
-    samples = [np.frombuffer(r["slots"], dtype=np.int32).reshape(settings.views, -1) for r in rows]
-    names = [r["lang"] for r in rows]
-    kinds = sorted(set(names), key=lambda n: (-names.count(n), n or ""))[: settings.languages]
-    language = np.array([kinds.index(n) if n in kinds else 0 for n in names])
-    toxic = np.array([r["toxic"] for r in rows], dtype=np.float64)
-    return _train(samples, toxic, language, len(kinds), share, settings)
+    samples = [np.frombuffer(b.as_buffer(), dtype=np.int32).reshape(settings.views, -1) for b in sample.column("slots")]
+    names = sample.column("lang").to_pylist()
+    # Languages beyond the most frequent ones are one kind together, whose threshold is the common one if it has too few texts.
+    kinds = sorted(set(names), key=lambda n: (-names.count(n), n or ""))
+    own = {n: i for i, n in enumerate(kinds[: settings.languages])}
+    language = np.array([own.get(n, settings.languages) for n in names])
+    return _train(samples, np.array(marks, dtype=np.float64), language, int(language.max()) + 1, share, settings)
 
 
 def _scored(model, settings: Settings, column: int, out: str):
