@@ -358,39 +358,39 @@ _NAMES = ["x", "g", "h", "n", "model", "role", "total", "sessions"]
 def _histograms(pending: list[tuple[int, int]], trees: list[Tree], chosen: list[np.ndarray], bins: int):
     """Per task and (model, node) and feature the sums of gradient, hessian and rows in each bin."""
 
+    nodes = [[node for m, node in pending if m == own] for own in range(len(trees))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, place = len(trees), [{node: i for i, (m, node) in enumerate(pending) if m == own} for own in range(len(trees))]
-        total: np.ndarray | None = None
+        models = len(trees)
+        totals = [np.zeros((3, len(own) * len(used) * (bins + 1))) for own, used in zip(nodes, chosen, strict=True)]
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
             g, h = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.float64).reshape(-1, models) for c in (1, 2))
             n = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8).reshape(-1, models)
-            width = x.shape[1]
-            if total is None:
-                total = np.zeros((3, len(pending) * width * (bins + 1)))
-            for m, nodes in enumerate(place):
-                if not nodes:
+            for m, wanted in enumerate(nodes):
+                if not wanted:
                     continue
                 known = np.full(len(trees[m].feature), -1)
-                known[list(nodes)] = list(nodes.values())
+                known[wanted] = np.arange(len(wanted))
                 # Weighed rows, and rows that only carry what they got from elsewhere.
                 own = np.flatnonzero((n[:, m] > 0) | (h[:, m] > 0))
                 leaf = known[trees[m].places(x[own])]
                 own, leaf = own[leaf >= 0], leaf[leaf >= 0]
-                slot = ((leaf[:, None] * width + chosen[m][None, :]) * (bins + 1) + x[own][:, chosen[m]]).ravel()
+                used = len(chosen[m])
+                slot = ((leaf[:, None] * used + np.arange(used)[None, :]) * (bins + 1) + x[own][:, chosen[m]]).ravel()
                 for part, weight in enumerate((g[own, m], h[own, m], n[own, m].astype(np.float64))):
-                    total[part] += np.bincount(slot, weights=np.repeat(weight, len(chosen[m])), minlength=total.shape[1])
-        if total is None:
-            return
-        cube = total.reshape(3, len(pending), width, bins + 1)
-        for i, (m, node) in enumerate(pending):
-            used = chosen[m][cube[1, i, chosen[m]].any(axis=1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), v, dtype=np.int32)) for v in (m, node)] + [pa.array(used.astype(np.int32)), pa.array([cube[:, i, f].tobytes() for f in used], pa.binary())],
-                names=["model", "node", "feature", "sums"],
-            )
+                    totals[m][part] += np.bincount(slot, weights=np.repeat(weight, used), minlength=totals[m].shape[1])
+        for m, wanted in enumerate(nodes):
+            cube = totals[m].reshape(3, len(wanted), len(chosen[m]), bins + 1)
+            for i, node in enumerate(wanted):
+                some = np.flatnonzero(cube[1, i].any(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), v, dtype=np.int32)) for v in (m, node)]
+                    + [pa.array(chosen[m][some].astype(np.int32)), pa.array([cube[:, i, f].tobytes() for f in some], pa.binary())],
+                    names=["model", "node", "feature", "sums"],
+                )
 
     return run
 

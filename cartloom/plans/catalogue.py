@@ -22,7 +22,7 @@ from cartloom.plans import oracle
 from cartloom.plans import recommender as REC
 from cartloom.session import new_path, stage
 from cartloom.sources import fixtures, readers, writers
-from cartloom.streaming import sessions as ST
+from cartloom.streaming import commits as CM
 
 ITEMS = replace(REC.PARITY, dedupe="item")
 
@@ -325,9 +325,21 @@ _add("merged_batches", "user_id country R F M:d", lambda d: readers.merge_batche
 
 @entry("session_metrics_streamed", METRICS)
 def _streamed(d: Data) -> DataFrame:
-    """Day by day metrics of all days that are over, by the stream run to its end."""
-    rows = ST.read_interaction_stream(d.spark, _written(d.interactions.select(*schemas.INTERACTIONS.names), "parquet"))
-    return ST.run_available(ST.session_metrics_stream(rows, late="1 day", longest="1 day"))
+    """The batch metrics from a stream over files that come in no order of time, several batches of them."""
+    rows = d.interactions.select(*schemas.INTERACTIONS.names)
+    source = _written(rows.repartition(12), "parquet")
+    return CM.session_metrics_so_far(d.spark, source, new_path(d.spark, "sums"), new_path(d.spark, "sums-state"), files_per_batch=5)
+
+
+@entry("merged_batches_incremental", "user_id country R F M:d")
+def _merged_new(d: Data) -> DataFrame:
+    """User batches merged as they come: two calls, the second with files that the first has not seen."""
+    source, table, state = (new_path(d.spark, n) for n in ("user-batches", "users", "users-state"))
+    early = F.pmod(F.xxhash64("user_id"), F.lit(2)) == 0
+    writers.write_table(d.users.filter(early), source)
+    CM.merge_new_users(d.spark, source, table, state)
+    d.users.filter(~early).write.mode("append").parquet(source)
+    return CM.merge_new_users(d.spark, source, table, state, files_per_batch=3)
 
 
 _add("sessions_min_adds", TRAIN, lambda d: FO.sessions_with_min_adds(d.train, 5))
@@ -381,6 +393,23 @@ def _classifier_folds(d: Data) -> DataFrame:
     return R.cross_validate_classifier(rows, range(5))
 
 
+# The queries on NDCG trees take fewer rounds and folds than the operators' defaults: a round takes about ten jobs at any size.
+QUERY_RANKER = replace(R.NDCG_RANKER, rounds=4, rate=0.3)
+
+
+@entry("ranker_ndcg_folds", "fold rounds train:d valid:d")
+def _ndcg_folds(d: Data) -> DataFrame:
+    return R.cross_validate_ndcg(stage(d.model_rows, "model_rows"), 3, QUERY_RANKER)
+
+
+@entry("recommend_ranked", "session_id rank partnumber score:d")
+def _recommend_ranked(d: Data) -> DataFrame:
+    """From the tables to five products per test session, in the order of a ranker trained on the train sessions."""
+    options = REC.Options(min_adds=1)
+    tables = REC.build_tables(d.train, d.test, d.users, d.products, options)
+    return REC.ranked(tables.test, REC.train_ndcg_ranker(tables.train, options, QUERY_RANKER))
+
+
 # Profiles.
 _add("null_counts", "column_name:s nulls", lambda d: D.null_counts(d.train))
 _add("distinct_counts", "column_name:s distinct_values", lambda d: D.distinct_counts(d.train))

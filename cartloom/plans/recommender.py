@@ -16,7 +16,8 @@ from cartloom.operators.folds import downsample_negatives, session_holdout, sess
 from cartloom.operators.products import (
     impute_embeddings, impute_section, normalize_embedding, product_statistics, product_universe, restrict_products,
 )
-from cartloom.operators.ranking import fit_ranker, score
+from cartloom.operators import boosting
+from cartloom.operators.ranking import NDCG_RANKER, fit_ndcg_ranker, fit_ranker, score
 from cartloom.operators.similarity import similar_lists, top_k_similar, top_similar_candidates
 from cartloom.operators.users import dedupe_users, user_features
 from cartloom.session import stage
@@ -125,3 +126,14 @@ def train_ranker(train_fe: DataFrame, options: Options = Options()) -> tuple[Pip
 def recommendations(test_fe: DataFrame, model: PipelineModel, k: int = 5) -> DataFrame:
     """(session_id, items): the k best products of each session."""
     return recommendation_lists(recommend(score(test_fe, model), k))
+
+
+def train_ndcg_ranker(train_fe: DataFrame, options: Options = Options(), settings: boosting.Settings = NDCG_RANKER) -> boosting.Model:
+    """Trees fitted to NDCG@5 on the sessions with enough adds; some of these sessions decide when to stop."""
+    chosen = downsample_negatives(sessions_with_min_adds(train_fe, options.min_adds), options.negative_ratio, seed=options.seed)
+    return fit_ndcg_ranker(stage(chosen, "ranker_rows"), settings, seed=options.seed)
+
+
+def ranked(test_fe: DataFrame, model: boosting.Model, k: int = 5) -> DataFrame:
+    """(session_id, rank, partnumber, score): the k best products of each session."""
+    return recommend(boosting.predict(test_fe, model), k)
