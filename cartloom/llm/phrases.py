@@ -3,11 +3,12 @@
 A text is cut into pieces at `.,;:!?` and line breaks, a piece into words at spaces and tabs. Every word starts a
 suffix: itself and up to four more words of its piece. A phrase's count is the number of suffixes that start with it.
 
-1. Routing by leading words. Tasks count hashes of all leading words and leading word pairs in a fixed number of slots.
-   A slot whose total lies below the wanted count holds no frequent leading words, so suffixes are dropped or ended there
-   before anything is shuffled. The slots in use are one bit each, 1 MB in all, whatever the data. Nothing else is
-   dropped: with more data than slots the filter passes more and the result stays the same.
-2. The suffixes that are left, counted in each task first, are dealt to tasks by ranges of (language, words). So a very
+1. Routing by leading words. Tasks count hashes of the leading two words of all suffixes in a fixed table of slots, then, where
+   these are frequent, those of three to five words in another. A slot whose total lies below the wanted count holds
+   no frequent phrase, so suffixes end before it and nothing of them is shuffled. A table has one bit per slot,
+   2 MB whatever the data. Nothing else is dropped: with much more data than slots the tables pass more,
+   more suffixes are shuffled, and the result stays the same.
+2. The suffixes, counted in each task first, are dealt to tasks by ranges of (language, words). A very
    frequent word or word pair is spread over as many tasks as its followers need.
 3. Each task sorts pointers to its suffixes by multikey three-way quicksort: split by the word at the current depth into
    smaller, equal and larger; the equal part's weight is the count of a phrase and goes one word deeper, down to five.
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm import wordhash
+from cartloom.llm.batches import small_batches
 from cartloom.session import stage
 
 #: Longest phrase in words.
@@ -44,18 +46,22 @@ DEPTH = 5
 class Settings:
     """least: occurrences a phrase needs; top: phrases per language.
 
-    slot_bits: 2^slot_bits slots of leading words; task_rows: suffixes that one task sorts.
+    slot_bits: 2^slot_bits slots in each table of leading words; task_rows: suffixes that one task sorts.
     """
 
     least: int = 100
     top: int = 2000
-    slot_bits: int = 23
-    task_rows: int = 300_000
+    slot_bits: int = 24
+    task_rows: int = 150_000
 
 
 BLANK, BREAK = np.frombuffer(b"\x20\x09", np.uint8), np.frombuffer(b".,;:!?\x0a\x0b\x0c\x0d", np.uint8)
 # Bytes of a batch that are looked at together.
-PART = 1 << 20
+PART = 1 << 18
+# Bytes of suffixes that a task counts before it hands them on, and rows it hands on at once.
+HELD, ROWS = 24 << 20, 8192
+# Slots that travel together.
+CHUNK = 1 << 15
 
 
 def _folded() -> np.ndarray:
@@ -130,117 +136,140 @@ def read_words(column: pa.Array) -> Iterator[Words]:
         yield Words(text, hashes, goes_on, joined, places)
 
 
-def _language_codes(column: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-    """Per text the number of its language, the languages, and a 64-bit hash of each."""
-    coded = column.dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    hashes = [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=8).digest(), "little") for n in names]
-    return coded.indices.to_numpy(zero_copy_only=False), names, np.array(hashes, dtype=np.uint64)
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, Words]]:
+    """Words with their languages: the languages' names, the language number of every word, the words."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            coded = whole.column(0).slice(at, 256).dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            for words in read_words(whole.column(1).slice(at, 256)):
+                yield coded.dictionary, codes[words.text], words
+
+
+def _leading(
+    names: pa.Array, language: np.ndarray, words: Words, slot_bits: int, pairs: np.ndarray | None = None, deeper: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For two to five leading words: which suffixes have them and may be frequent by the tables given, and their slots."""
+    salts = [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=8).digest(), "little") for n in names.to_pylist()]
+    acc = wordhash.mix(words.hash ^ np.array(salts, dtype=np.uint64)[language])
+    usable, linked = np.ones(len(acc), dtype=bool), words.goes_on
+    for more in range(1, DEPTH):
+        acc = wordhash.mix(acc[:-1] * np.uint64(0xA0761D6478BD642F) + words.hash[more:])
+        slots = (acc >> np.uint64(64 - slot_bits)).astype(np.int64)
+        usable = usable[:-1] & linked[more - 1 : len(linked) - 1]
+        table = pairs if more == 1 else deeper
+        if table is not None:
+            usable = usable & _is_set(table, slots)
+        if more == 1:
+            linked = np.append(usable, False)
+        yield usable, slots
+        if not len(slots):
+            return
 
 
-def _slots(words: Words, salt: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of each word, and of each word with the one after it (of no use at a piece's end)."""
-    shift = np.uint64(64 - bits)
-    single = wordhash.mix(words.hash ^ salt)
-    pair = wordhash.mix(single[:-1] * np.uint64(0xA0761D6478BD642F) + words.hash[1:])
-    return (single >> shift).astype(np.int64), (pair >> shift).astype(np.int64)
+def _is_set(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
-def _count_leading(settings: Settings):
-    """Per task: how many leading words and pairs fall into each slot, and how many words each language has."""
+def _count_slots(settings: Settings, pairs: np.ndarray | None):
+    """Per task the counts of all slots, held to the wanted count, in chunks: of pairs, or of more words where pairs are frequent."""
+    kind = np.min_scalar_type(settings.least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << settings.slot_bits, dtype=np.int64)
-        totals: dict[str, int] = {}
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                codes, names, salts = _language_codes(batch.column(0))
-                for words in read_words(batch.column(1)):
-                    language = codes[words.text]
-                    single, pair = _slots(words, salts[language], settings.slot_bits)
-                    np.add.at(counts, single, 1)
-                    np.add.at(counts, pair[words.goes_on[:-1]], 1)
-                    for code, n in enumerate(np.bincount(language, minlength=len(names)).tolist()):
-                        totals[names[code]] = totals.get(names[code], 0) + n
-        used = np.flatnonzero(counts)
-        for at in range(0, len(used), 1 << 16):
-            part = used[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.string()), pa.array(part), pa.array(counts[part])], names=["lang", "slot", "n"])
-        found = [(k, n) for k, n in totals.items() if n]
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in found]), pa.array([-1] * len(found), pa.int64()), pa.array([n for _, n in found], pa.int64())],
-                names=["lang", "slot", "n"],
-            )
+        counts = np.zeros(1 << settings.slot_bits, dtype=np.uint32)
+        for found in _texts(batches):
+            for number, (usable, slots) in enumerate(_leading(*found, settings.slot_bits, pairs)):
+                if (number == 0) == (pairs is None):
+                    np.add.at(counts, slots[usable], 1)
+                if pairs is None:
+                    break
+        for chunk in range(0, len(counts), CHUNK):
+            part = counts[chunk : chunk + CHUNK]
+            if part.any():
+                part = np.minimum(part, settings.least).astype(kind)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk // CHUNK], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "counts"])
 
     return run
 
 
-def _frequent_slots(counted: DataFrame, settings: Settings) -> np.ndarray:
-    """One bit per slot, set where its total reaches the wanted count."""
-    # Bits of bitmaps count from 1, 32,768 in a bucket.
-    bit = F.col("slot") + 1
-    full = counted.filter((F.col("slot") >= 0) & (F.col("n") >= settings.least))
-    maps = full.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    buckets = np.zeros((max(1, (1 << settings.slot_bits) >> 15), 4096), dtype=np.uint8)
-    for row in maps.toLocalIterator():
-        buckets[row["bucket"] - 1] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-    return buckets.ravel()
+def _sum_slots(settings: Settings):
+    """Chunks of all tasks to one bit per slot, set where the total reaches the wanted count."""
+    kind = np.min_scalar_type(settings.least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(counts.as_buffer(), dtype=kind).astype(np.uint32)
+                totals[chunk] = np.minimum(totals[chunk] + part, settings.least) if chunk in totals else part
+        for chunk, total in totals.items():
+            bits = np.packbits(total >= settings.least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], names=["chunk", "bits"])
 
+    return run
 
-def _is_set(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
+def _table(texts: DataFrame, settings: Settings, pairs: np.ndarray | None = None) -> np.ndarray:
+    """One bit per slot of leading words. Comes to the driver: 2 MB at 24 slot bits."""
+    counted = texts.mapInArrow(_count_slots(settings, pairs), "chunk int, counts binary")
+    summed = counted.repartition("chunk").mapInArrow(_sum_slots(settings), "chunk int, bits binary")
+    table = np.zeros((1 << settings.slot_bits) // 8, dtype=np.uint8)
+    for row in summed.collect():
+        at = row["chunk"] * CHUNK // 8
+        table[at : at + len(row["bits"])] = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+    return table
 
-def _suffixes(bits: np.ndarray, settings: Settings):
-    """Suffixes as far as their leading words may be frequent, counted within the task: lang, suffix, n."""
 
-    def counted(parts: list[pa.Table]) -> pa.Table:
-        total = pa.concat_tables(parts).group_by(["lang", "suffix"]).aggregate([("n", "sum")])
-        return total.rename_columns(["lang", "suffix", "n"])
+_SUFFIXES = pa.schema([("lang", pa.string()), ("suffix", pa.string()), ("n", pa.int64())])
+
+
+def _counted(parts: list[pa.Table]) -> pa.Table:
+    """Equal suffixes together."""
+    total = pa.concat_tables(parts).group_by(["lang", "suffix"], use_threads=False).aggregate([("n", "sum")])
+    return total.rename_columns(["lang", "suffix", "n"]).combine_chunks()
+
+
+def _strings(words: Words, more: np.ndarray) -> pa.Array:
+    """Every word with so many more words as a string, one space between."""
+    low = words.places[:-1]
+    lengths = words.places[np.arange(len(low)) + more + 1] - 1 - low
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    index = np.repeat(low - offsets[:-1], lengths) + np.arange(offsets[-1])
+    return pa.StringArray.from_buffers(len(low), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(words.joined[index]))
+
+
+def _suffixes(settings: Settings, pairs: np.ndarray, deeper: np.ndarray):
+    """(lang, text) to the suffixes with their counts within the task; the empty suffix counts the language's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        size = 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                codes, names, salts = _language_codes(batch.column(0))
-                for words in read_words(batch.column(1)):
-                    language = codes[words.text]
-                    single, pair = _slots(words, salts[language], settings.slot_bits)
-                    starts = _is_set(bits, single)
-                    both = words.goes_on[:-1] & starts[:-1] & starts[1:] & _is_set(bits, pair)
-                    more = np.zeros(len(starts), dtype=np.int64)
-                    for _ in range(DEPTH - 1):
-                        more[:-1] = np.where(both, 1 + more[1:], 0)
-                    pointers = np.flatnonzero(starts)
-                    if not len(pointers):
-                        continue
-                    low = words.places[pointers]
-                    lengths = words.places[pointers + more[pointers] + 1] - 1 - low
-                    offsets = np.concatenate([[0], np.cumsum(lengths)])
-                    index = np.repeat(low - offsets[:-1], lengths) + np.arange(offsets[-1])
-                    text = pa.LargeStringArray.from_buffers(
-                        len(pointers), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(words.joined[index])
-                    )
-                    lang = pa.array(names, pa.string()).take(pa.array(language[pointers]))
-                    part = pa.table({"lang": lang, "suffix": text, "n": pa.array(np.ones(len(pointers), dtype=np.int64))})
-                    held.append(counted([part]))
-                    size += held[-1].nbytes
-                    if size > 32 << 20:
-                        yield from counted(held).combine_chunks().cast(_SUFFIX_SCHEMA).to_batches(1 << 16)
-                        held, size = [], 0
+        base = size = 0
+        totals: dict[str, int] = {}
+        for names, language, words in _texts(batches):
+            for name, n in zip(names.to_pylist(), np.bincount(language, minlength=len(names)).tolist(), strict=True):
+                totals[name] = totals.get(name, 0) + n
+            more = np.zeros(len(language), dtype=np.int64)
+            for usable, _ in _leading(names, language, words, settings.slot_bits, pairs, deeper):
+                more[: len(usable)] += usable
+            ones = pa.array(np.ones(len(language), dtype=np.int64))
+            held.append(_counted([pa.table({"lang": names.take(pa.array(language)), "suffix": _strings(words, more), "n": ones})]))
+            size += held[-1].nbytes
+            if size > base + HELD // 2:
+                held = [_counted(held)]
+                base = size = held[0].nbytes
+                if base > HELD:
+                    yield from held[0].cast(_SUFFIXES).to_batches(ROWS)
+                    held, base, size = [], 0, 0
         if held:
-            yield from counted(held).combine_chunks().cast(_SUFFIX_SCHEMA).to_batches(1 << 16)
+            yield from _counted(held).cast(_SUFFIXES).to_batches(ROWS)
+        words_of = [(name, n) for name, n in totals.items() if n]
+        if words_of:
+            columns = [pa.array([name for name, _ in words_of]), pa.array([""] * len(words_of)), pa.array([n for _, n in words_of], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SUFFIXES)
 
     return run
 
 
-_SUFFIX_SCHEMA = pa.schema([("lang", pa.string()), ("suffix", pa.string()), ("n", pa.int64())])
-
-
 def three_way(keys: np.ndarray, weights: np.ndarray, least: int, ends: tuple[int, ...] = ()) -> list[tuple[int, int, int]]:
     """Multikey three-way quicksort of pointers to the rows of `keys`; -1 ends a row.
 
@@ -296,7 +325,7 @@ def _sort_range(settings: Settings):
             return
         rows = pa.Table.from_batches(held).combine_chunks()
         languages, names = _ranks(rows.column("lang").combine_chunks())
-        lists = rows.column("words").combine_chunks()
+        lists = pc.split_pattern(rows.column("suffix").combine_chunks(), " ")
         offsets = lists.offsets.to_numpy()
         flat, words = _ranks(lists.values.slice(offsets[0], offsets[-1] - offsets[0]))
         lengths = np.diff(offsets)
@@ -322,17 +351,18 @@ def _sort_range(settings: Settings):
 def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
     """Phrases of one to five words with their counts f (lang, phrase, words, f), and words per language (lang, n)."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    leading = texts.mapInArrow(_count_leading(settings), "lang string, slot bigint, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
-    counted = stage(leading.filter((F.col("slot") < 0) | (F.col("n") >= settings.least)), "phrases-leading")
-    totals = counted.filter("slot < 0").select("lang", "n")
-    bits = _frequent_slots(counted, settings)
-    suffixes = stage(texts.mapInArrow(_suffixes(bits, settings), "lang string, suffix string, n bigint"), "phrases-suffixes")
-    words = suffixes.select("lang", F.split("suffix", " ").alias("words"), "n")
-    tasks = max(1, math.ceil(suffixes.count() / settings.task_rows), _shuffles(docs.sparkSession))
-    ranged = words.repartitionByRange(tasks, "lang", "words")
-    parts = ranged.mapInArrow(_sort_range(settings), "lang string, phrase string, words int, f bigint")
-    whole = parts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return stage(whole.filter(F.col("f") >= settings.least), "phrases-frequent"), totals
+    with small_batches(docs.sparkSession):
+        pairs = _table(texts, settings)
+        deeper = _table(texts, settings, pairs)
+        written = stage(texts.mapInArrow(_suffixes(settings, pairs, deeper), "lang string, suffix string, n bigint"), "phrases-suffixes")
+        totals = written.filter("suffix = ''").groupBy("lang").agg(F.sum("n").alias("n"))
+        suffixes = written.filter("suffix <> ''")
+        tasks = max(1, math.ceil(suffixes.count() / settings.task_rows), _shuffles(docs.sparkSession))
+        # By words and not by the string: control characters inside words sort before the space.
+        ranged = suffixes.repartitionByRange(tasks, F.col("lang"), F.split("suffix", " "))
+        parts = ranged.mapInArrow(_sort_range(settings), "lang string, phrase string, words int, f bigint")
+        whole = parts.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+        return stage(whole.filter(F.col("f") >= settings.least), "phrases-frequent"), totals
 
 
 def _shuffles(spark: SparkSession) -> int:

@@ -73,8 +73,8 @@ def test_equals_brute_force(spark):
         rows.append((text, draw.choice(["en", "de", None, ""])))
     rows += [(None, "en"), ("", None), ("!!! . ,", "fr"), ("one two three four five six " * 400, "en"), ("one two three four five six. " * 9, "xx")]
     frame = spark.createDataFrame([(t, lang, "clash", 1) for t, lang in rows], "text string, lang string, phrase string, n int").repartition(7)
-    for least in (2, 4, 9):
-        settings = phrases.Settings(least=least, top=25, slot_bits=15, task_rows=60)
+    for least, bits in ((2, 15), (4, 20), (300, 16)):
+        settings = phrases.Settings(least=least, top=25, slot_bits=bits, task_rows=60)
         assert collected(frame, settings) == brute(rows, least, 25)
 
 
