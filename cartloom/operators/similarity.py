@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.vectors import with_unit_vector
+from cartloom.operators import vector_groups as G, vector_index as VI
+from cartloom.session import stage
 
 # Two blocks of vectors meet in a task: at 1,280 numbers per vector about 80 MB.
 BLOCK_ROWS = 4096
@@ -29,31 +31,75 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _block_pairs(reps: DataFrame, block_rows: int) -> DataFrame:
-    """Each unit vector once per partner block, keyed by the (smaller, larger) block number.
+def _units(reps: DataFrame) -> DataFrame:
+    """(rep, unit), written once, as centres, angles and searches read it several times."""
+    return stage(with_unit_vector(reps, "embedding", "unit").select("rep", "unit"), "units")
 
-    A block is a hash share of about `block_rows` vectors, so a pair of blocks fits in one task
-    whatever the data look like.
+
+OTHER_BLOCK = "target != block"
+LATER_BLOCK = "target >= block"
+
+
+def _own_blocks(units: DataFrame, groups: G.Groups, k: int) -> DataFrame:
+    """The k best of each vector's own block, and the blocks that may hold better ones.
+
+    The k-th best cosine there (`least`) bounds the search: a group whose members are all farther away is not seen.
     """
-    blocks = reps.agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_b")).scalar()
-    units = with_unit_vector(reps, "embedding", "unit").select("rep", "unit")
-    placed = units.withColumn("_blocks", F.greatest(blocks, F.lit(1))).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
-    )
-    partner = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    return placed.withColumn("_partner", partner).select(
-        "rep", "unit", "block",
-        F.least("block", "_partner").alias("low"),
-        F.greatest("block", "_partner").alias("high"),
-    )
+    nearest = _block_kernel(k)
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        # As many rows for each vector, in the vectors' order.
+        best = nearest(pdf.assign(low=0, high=0, block=0))
+        others, cosines = (best[c].to_numpy().reshape(len(pdf), -1) for c in ("other", "cosine"))
+        least = cosines[:, k - 1] if cosines.shape[1] >= k else np.full(len(pdf), -2.0)
+        return pd.DataFrame({
+            "rep": pdf["rep"].to_numpy(), "unit": pdf["unit"].to_numpy(), "block": pdf["block"].to_numpy(), "least": least,
+            "others": list(others), "cosines": list(cosines), "targets": groups.targets(G.matrix(pdf["unit"]), least),
+        })
+
+    return stage(G.placed(units, groups).groupBy("block").applyInPandas(
+        kernel, "rep long, unit array<double>, block int, least double, others array<long>, cosines array<double>, targets array<int>"
+    ), "own_blocks")
 
 
 def _nearest_reps(reps: DataFrame, k: int, block_rows: int) -> DataFrame:
     """(rep, other, cosine): the k most similar vectors of each, itself included."""
-    local = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
-        _block_kernel(k), "rep long, other long, cosine double"
+    decimals, chunk = DECIMALS, CHUNK_ROWS
+
+    def kernel(asking: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"rep": [], "other": [], "cosine": []})]
+        if len(asking) and len(kept):
+            own, least, others = asking["rep"].to_numpy(), asking["least"].to_numpy(), kept["rep"].to_numpy()
+            mat, other_mat = G.matrix(asking["unit"]), G.matrix(kept["unit"])
+            for start in range(0, len(own), chunk):
+                sim = np.round(mat[start:start + chunk] @ other_mat.T, decimals)
+                best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+                cosine = np.take_along_axis(sim, best, axis=1)
+                rows, cols = np.nonzero(cosine >= least[start:start + chunk, None])
+                found.append(pd.DataFrame({"rep": own[start + rows], "other": others[best[rows, cols]], "cosine": cosine[rows, cols]}))
+        return pd.concat(found[1:] or found, ignore_index=True)
+
+    units = _units(reps)
+    groups = G.fit_groups(units, block_rows)
+    if not groups.blocks.any():
+        return units.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
+    own = _own_blocks(units, groups, k)
+    near = own.select("rep", F.explode(F.arrays_zip("others", "cosines")).alias("_n")).select(
+        "rep", F.col("_n.others").alias("other"), F.col("_n.cosines").alias("cosine")
     )
-    return _best(local, k)
+    far = G.meet(own.drop("others", "cosines"), groups, OTHER_BLOCK, block_rows, kernel, "rep long, other long, cosine double")
+    return _best(near.unionByName(far), k)
+
+
+def search_work(vectors: DataFrame, k: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(vectors, blocks, sent, all_blocks): different vectors, their blocks, the vectors that `top_k_similar` moves
+    between tasks, and how many it would move if each met every block."""
+    units = _units(distinct_vectors(vectors))
+    groups = G.fit_groups(units, block_rows)
+    if not groups.blocks.any():
+        return units.agg(*[F.count(F.lit(1)).alias(c) for c in ("vectors", "blocks", "sent", "all_blocks")])
+    return G.moved(_own_blocks(units, groups, k + 1), groups, OTHER_BLOCK, block_rows)
 
 
 def _best(local: DataFrame, k: int) -> DataFrame:
@@ -135,12 +181,32 @@ def top_k_similar_lsh(
 ) -> DataFrame:
     """Like `top_k_similar`, but neighbours are looked for only in shared random-plane buckets.
 
-    An operator of its own for many different vectors: work falls by about 2^bits / tables, recall by how
-    seldom near vectors share a bucket. Cosines of what is found are exact.
+    With n different vectors it compares about tables * n^2 / 2^bits pairs: less than the exact search only where
+    2^bits is larger than `tables`, which the defaults, set for recall, are not. `top_k_similar_indexed` saves work.
+    Cosines of what is found are exact.
     """
     return top_k_similar(vectors, k, nearest=lambda reps, n: _similar_reps_lsh(reps, n, block_rows, tables, bits, seed))
 
 
+def top_k_similar_indexed(vectors: DataFrame, k: int = 10, settings: VI.Settings = VI.Settings()) -> DataFrame:
+    """Like `top_k_similar`, from inverted lists of quantised vectors with exact re-ranking (`vector_index`).
+
+    An operator of its own. For each vector `settings.shortlist` * (k + 1) exact products instead of one with each other.
+    """
+    return top_k_similar(vectors, k, nearest=lambda reps, n: _best(VI.nearest_indexed(reps, n, settings), n))
+
+
+def index_report(vectors: DataFrame, k: int = 10, settings: VI.Settings = VI.Settings()) -> DataFrame:
+    """(pairs, found, recall, exact_products, all_products) of the indexed search against the exact one."""
+    recall = top_k_recall(top_k_similar(vectors, k), top_k_similar_indexed(vectors, k, settings))
+    # The short list is the bound on exact products of each different vector.
+    count = distinct_vectors(vectors).agg(F.count(F.lit(1))).scalar()
+    own = F.least(F.col("_n"), F.lit(settings.shortlist * (k + 1)))
+    return recall.withColumn("_n", count).select(
+        "pairs", "found", "recall", (F.col("_n") * own).alias("exact_products"), (F.col("_n") * F.col("_n")).alias("all_products")
+    )
+
+
 def top_k_recall(exact: DataFrame, found: DataFrame) -> DataFrame:
     """(pairs, found, recall): how many of the exact neighbours another search found."""
     both = exact.select("partnumber", "neighbour").join(found.select("partnumber", "neighbour", F.lit(1).alias("_hit")), ["partnumber", "neighbour"], "left")
@@ -208,30 +274,41 @@ def cosine_pairs(vectors: DataFrame, threshold: float, block_rows: int = BLOCK_R
     """Pairs of different vectors with cosine >= threshold, smaller product first.
 
     Products with equal vectors stand as one row under the smallest of them; `copies_a` and
-    `copies_b` say how many there are.
+    `copies_b` say how many there are. Groups too far from a vector to reach the threshold never meet it.
     """
     decimals, chunk = DECIMALS, CHUNK_ROWS
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(pdf["low"].iat[0]), int(pdf["high"].iat[0])
-        left = pdf[pdf["block"] == low]
-        right = pdf[pdf["block"] == high]
+    def kernel(asking: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({"a": [], "b": [], "cosine": []})]
-        if len(left) and len(right):
-            own, others = left["rep"].to_numpy(), right["rep"].to_numpy()
-            mat, other_mat = np.stack(left["unit"].to_numpy()), np.stack(right["unit"].to_numpy())
+        if len(asking) and len(kept):
+            own, others = asking["rep"].to_numpy(), kept["rep"].to_numpy()
+            # Two vectors of one block both ask for it; those of two blocks meet in the later one only.
+            same = asking["block"].to_numpy() == kept["block"].iat[0]
+            mat, other_mat = G.matrix(asking["unit"]), G.matrix(kept["unit"])
             for start in range(0, len(own), chunk):
                 sim = np.round(mat[start:start + chunk] @ other_mat.T, decimals)
                 rows, cols = np.nonzero(sim >= threshold)
                 a, b = own[start + rows], others[cols]
                 part = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": sim[rows, cols]})
-                found.append(part[a < b] if low == high else part)
+                found.append(part[(a < b) | ~same[start + rows]])
         return pd.concat(found[1:] or found, ignore_index=True)
 
+    def targets(frames):
+        for pdf in frames:
+            if len(pdf):
+                least = np.full(len(pdf), float(threshold))
+                yield pdf.assign(least=least, targets=groups.targets(G.matrix(pdf["unit"]), least))
+
     reps = distinct_vectors(vectors)
-    pairs = _block_pairs(reps, block_rows).groupBy("low", "high").applyInPandas(
-        kernel, "a long, b long, cosine double"
-    )
+    units = _units(reps)
+    groups = G.fit_groups(units, block_rows)
+    if groups.blocks.any():
+        asking = stage(G.placed(units, groups).mapInPandas(
+            targets, "rep long, unit array<double>, block int, least double, targets array<int>"
+        ), "asking")
+        pairs = G.meet(asking, groups, LATER_BLOCK, block_rows, kernel, "a long, b long, cosine double")
+    else:
+        pairs = units.select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("cosine"))
     copies_a = reps.select(F.col("rep").alias("a"), F.col("copies").alias("copies_a"))
     copies_b = reps.select(F.col("rep").alias("b"), F.col("copies").alias("copies_b"))
     return pairs.join(copies_a, "a").join(copies_b, "b").select(

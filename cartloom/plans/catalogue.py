@@ -273,6 +273,12 @@ def _lsh_recall(d: Data) -> DataFrame:
     return V.top_k_recall(V.top_k_similar(filled), V.top_k_similar_lsh(filled))
 
 
+@entry("top_k_index_recall", "pairs found recall:d exact_products all_products")
+def _index_recall(d: Data) -> DataFrame:
+    return V.index_report(stage(P.impute_embeddings(d.products).select("partnumber", "embedding"), "filled"))
+
+
+_add("top_k_work", "vectors blocks sent all_blocks", lambda d: V.search_work(d.products))
 _add("similar_exploded", "partnumber neighbour synthetic_candidate", lambda d: d.near)
 _add("cosine_pairs", "partnumber_a partnumber_b cosine:d copies_a copies_b", lambda d: V.cosine_pairs(d.products, 0.3))
 _add("pca_explained", "threshold:d components", lambda d: V.pca_explained(d.products))
