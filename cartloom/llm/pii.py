@@ -128,14 +128,15 @@ LEAST_SCORE, NEARBY = 0.5, 40
 _BLOCK = 256
 
 
-def running_totals(numbers: Column) -> Column:
-    """Sums of all earlier elements (0 first). Summed in blocks, so that copying stays small on long arrays."""
+def running_totals(numbers: Column, combine=lambda a, b: a + b) -> Column:
+    """Sums of all earlier elements (0 first), or another such combination of numbers from 0 up. Made in blocks, so
+    that copying stays small on long arrays."""
 
     def within(values: Column) -> Column:
         start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<bigint>").alias("sums"))
         return F.aggregate(
             values, start,
-            lambda acc, v: F.struct((acc["total"] + v).alias("total"), F.concat(acc["sums"], F.array(acc["total"])).alias("sums")),
+            lambda acc, v: F.struct(combine(acc["total"], v).alias("total"), F.concat(acc["sums"], F.array(acc["total"])).alias("sums")),
         )
 
     count = F.size(numbers)
@@ -144,7 +145,7 @@ def running_totals(numbers: Column) -> Column:
         lambda b: within(F.slice(numbers, b * _BLOCK + 1, F.lit(_BLOCK))),
     )
     starts = within(F.transform(blocks, lambda b: b["total"]))["sums"]
-    return F.flatten(F.zip_with(blocks, starts, lambda b, s: F.transform(b["sums"], lambda v: v + s)))
+    return F.flatten(F.zip_with(blocks, starts, lambda b, s: F.transform(b["sums"], lambda v: combine(v, s))))
 
 
 def _proposals(text: Column, kind: Kind) -> tuple[Column, Column]:
@@ -217,43 +218,50 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def mask(text: Column, spans: Column) -> Column:
-    """`text` with every span replaced by its kind in brackets; overlapping spans become one, named by the first."""
+def mask(docs: DataFrame, text: str, spans: str) -> DataFrame:
+    """`docs` with every span of `text` replaced by its kind in brackets; overlapping spans become one, named by the first.
+
+    A text with n spans is cut into about sqrt(n) sections and these into pieces, so no piece is looked for from
+    the text's start. Each step is a column of its own, as the next one looks its elements up one by one.
+    """
     ordered = F.array_sort(F.transform(
         spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["kind"].alias("kind"))
     ))
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<from:bigint,to:bigint,kind:string>>").alias("cuts"),
-    )
-    merged = F.aggregate(
-        ordered, start,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], -s["less"]).alias("at"),
-            F.when(
-                -s["less"] <= acc["at"], acc["cuts"]
-            ).otherwise(F.concat(acc["cuts"], F.array(F.struct(
-                F.greatest(s["start"], acc["at"]).alias("from"), (-s["less"]).alias("to"),
-                F.when(s["start"] < acc["at"], F.lit(None).cast("string")).otherwise(s["kind"]).alias("kind"),
-            )))).alias("cuts"),
-        ),
-    )["cuts"]
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform(merged, lambda c: c["to"]))
-    pieces = F.zip_with(
-        merged, F.slice(ends, F.lit(1), F.size(merged)),
-        lambda c, last: F.concat(
-            text.substr((last + 1).cast("int"), (c["from"] - last).cast("int")),
-            F.coalesce(F.concat(F.lit("["), F.upper(c["kind"]), F.lit("]")), F.lit("")),
-        ),
+    steps = docs.withColumn("__pii_order", ordered)
+    steps = steps.withColumn("__pii_ends", F.transform("__pii_order", lambda s: -s["less"]))
+    steps = steps.withColumn("__pii_reached", running_totals(F.col("__pii_ends"), F.greatest))
+    # A cut ends past all earlier spans; `last` is where the text before it starts.
+    cuts = F.filter(
+        F.zip_with("__pii_order", "__pii_reached", lambda s, last: F.struct(
+            last.alias("last"), F.greatest(s["start"], last).alias("from"), (-s["less"]).alias("to"),
+            F.when(s["start"] < last, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).alias("label"),
+        )),
+        lambda c: c["to"] > c["last"],
     )
-    tail = text.substr((F.element_at(ends, -1) + 1).cast("int"), F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
+    steps = steps.withColumn("__pii_cuts", cuts)
+    steps = steps.withColumn("__pii_each", F.greatest(F.ceil(F.sqrt(F.size("__pii_cuts").cast("double"))), F.lit(1)).cast("int"))
+    each, count = F.col("__pii_each"), F.size("__pii_cuts")
+    numbers = F.sequence(F.lit(0), F.greatest(F.floor((count - 1) / each), F.lit(0)).cast("int"))
+    steps = steps.withColumn("__pii_blocks", F.transform(numbers, lambda b: F.slice("__pii_cuts", b * each + 1, each)))
+
+    def between(whole: Column, first: Column, end: Column) -> Column:
+        return whole.substr((first + 1).cast("int"), (end - first).cast("int"))
+
+    steps = steps.withColumn("__pii_sections", F.transform("__pii_blocks", lambda c: F.struct(
+        c.alias("cuts"), F.get(c, F.lit(0))["last"].alias("begin"),
+        between(F.col(text), F.get(c, F.lit(0))["last"], F.get(c, F.size(c) - 1)["from"]).alias("text"),
+    )))
+    pieces = F.transform("__pii_sections", lambda x: F.array_join(F.transform(
+        x["cuts"], lambda c: F.concat(between(x["text"], c["last"] - x["begin"], c["from"] - x["begin"]), c["label"])
+    ), ""))
+    tail = F.col(text).substr((F.get("__pii_cuts", count - 1)["to"] + 1).cast("int"), F.length(text))
+    clean = steps.withColumn(text, F.when(count > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(F.col(text)))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def masked(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with personal data in `text` masked (a null text stays null)."""
-    found = find_spans(docs, text, "__pii_spans")
-    clean = found.withColumn(text, mask(F.col(text), F.col("__pii_spans")))
+    clean = mask(find_spans(docs, text, "__pii_spans"), text, "__pii_spans")
     return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -125,3 +125,26 @@ def test_patterns_equal_their_plain_forms(text):
     for kind in ("card", "phone"):
         possessive = next(k.pattern for k in pii.KINDS if k.name == kind)
         assert [m.span() for m in re.finditer(possessive, text)] == [m.span() for m in re.finditer(PATTERNS[kind], text)]
+
+
+def test_mask_like_a_plain_loop(spark):
+    draw = random.Random(2)
+    rows = []
+    for i in range(400):
+        text = "".join(draw.choice("aé😀b ") for _ in range(draw.randint(1, 300)))
+        spans = [(draw.choice(["email", "ip"]), a, min(len(text), a + draw.randint(1, 20)), 0.5) for a in (draw.randrange(len(text)) for _ in range(draw.randint(0, 40)))]
+        rows.append((i, text, spans))
+    got = {r["id"]: r["text"] for r in pii.mask(spark.createDataFrame(rows, f"id int, text string, s {pii.SPAN_TYPE}"), "text", "s").collect()}
+    for i, text, spans in rows:
+        want, last = "", 0
+        for kind, start, end, _ in sorted(spans, key=lambda s: (s[1], -s[2], s[0])):
+            if end > last:
+                want += text[last:start] + (f"[{kind.upper()}]" if start >= last else "")
+                last = end
+        assert got[i] == want + text[last:]
+
+
+def test_mask_of_a_text_with_many_spans(spark):
+    text = " and ".join(f"u{i}@ex.org +1 555 0{i:06d}" for i in range(50_000))
+    masked = pii.masked(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()["text"]
+    assert masked == " and ".join(["[EMAIL] [PHONE]"] * 50_000)
