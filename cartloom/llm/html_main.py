@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 
 from cartloom.llm import trees
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""", re.DOTALL
-)
+_OPENING = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_SIGNS = re.compile(r"""[>"']""")
 _NAMES = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 
@@ -92,57 +91,137 @@ class Page:
     pieces: list[tuple[int, str]] = field(default_factory=list)
 
 
+class _TagEnds:
+    """Where tags end. What is found out about a sign (>, ", ') is kept, so a broken page is not walked again for each tag."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last_close = source.rfind(">")
+        self.known: dict[int, int] = {}
+        self.looked, self.sign = 0, -1
+
+    def _next_sign(self, at: int) -> int:
+        if not self.looked <= at <= self.sign:
+            found = _SIGNS.search(self.source, at)
+            self.looked, self.sign = at, found.start() if found else len(self.source)
+        return self.sign
+
+    def tag(self, at: int) -> int:
+        """Place of the > that ends a tag whose attributes start at `at`; -1 if none does. Quoted ones don't."""
+        if at > self.last_close:
+            return -1
+        sign, passed, end = self._next_sign(at), [], -1
+        while sign <= self.last_close:
+            if (known := self.known.get(sign)) is not None:
+                end = known
+                break
+            passed.append(sign)
+            if self.source[sign] == ">":
+                end = sign
+                break
+            closing = self.source.find(self.source[sign], sign + 1)
+            if closing < 0:
+                break
+            found = _SIGNS.search(self.source, closing + 1)
+            if not found:
+                break
+            sign = found.start()
+        self.known.update(dict.fromkeys(passed, end))
+        return end
+
+    def declaration(self, at: int) -> int:
+        return self.source.find(">", at) if at <= self.last_close else -1
+
+
+class _Open:
+    """The open elements, outermost first, with the depths of each name and of all blocks at hand."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.names: list[str] = []
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: int, tag: str) -> None:
+        depth = len(self.nodes)
+        self.nodes.append(node)
+        self.names.append(tag)
+        self.depths.setdefault(tag, []).append(depth)
+        if tag not in INLINE:
+            self.blocks.append(depth)
+
+    def close(self, depth: int) -> None:
+        while len(self.nodes) > depth:
+            self.nodes.pop()
+            tag = self.names.pop()
+            self.depths[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
+    def end_tag(self, tag: str) -> None:
+        """An end tag that matches nothing is passed over; an inline one doesn't close a block."""
+        depths = self.depths.get(tag)
+        if depths and not (tag in INLINE and self.blocks[-1] > depths[-1]):
+            self.close(depths[-1])
+
+    def start_block(self, tag: str) -> None:
+        """A new block ends an open paragraph, or an open element of its own group."""
+        group, inner = SAME.get(tag), self.blocks[-1]
+        if inner and (self.names[inner] == "p" or (group and SAME.get(self.names[inner]) == group)):
+            self.close(inner)
+
+
 def parse(source: str) -> Page:
-    page, stack = Page(), []
+    page, stack, ends = Page(), _Open(), _TagEnds(source)
     tags, parents, attributes, pieces = page.tags, page.parents, page.attributes, page.pieces
 
     def open_element(tag: str, given: str) -> int:
         tags.append(tag)
-        parents.append(stack[-1] if stack else -1)
+        parents.append(stack.nodes[-1] if stack.nodes else -1)
         attributes.append(given)
         return len(tags) - 1
 
-    stack.append(open_element("#root", ""))
-    at, size = 0, len(source)
-    while at < size:
-        token = _TOKEN.search(source, at)
-        until = token.start() if token else size
-        if until > at:
-            pieces.append((stack[-1], source[at:until]))
-        if not token:
-            break
-        at = token.end()
-        if token[2] is None:
+    stack.push(open_element("#root", ""), "#root")
+    # Text runs from `begin`; the next tag is looked for from `at`.
+    begin = at = 0
+    size = len(source)
+    while (start := source.find("<", at)) >= 0:
+        opening = _OPENING.match(source, start)
+        if opening:
+            end = ends.tag(opening.end())
+        elif source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            end = end + 2 if end >= 0 else size - 1
+        elif source.startswith(("<!", "<?"), start):
+            end = ends.declaration(start + 2)
+        else:
+            end = -1
+        if end < 0:
+            at = start + 1
+            continue
+        if start > begin:
+            pieces.append((stack.nodes[-1], source[begin:start]))
+        begin = at = end + 1
+        if not opening:
             continue
-        tag = token[2].lower()
+        tag, given = opening[2].lower(), source[opening.end() : end]
         inline = tag in INLINE
         if not inline:
             pieces.append((-1, ""))
-        if token[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
-                # An inline end tag doesn't close a block.
-                if inline and tags[stack[depth]] not in INLINE:
-                    break
+        if opening[1]:
+            stack.end_tag(tag)
             continue
         if not inline and tag != "br":
-            group = SAME.get(tag)
-            for depth in range(len(stack) - 1, 0, -1):
-                name = tags[stack[depth]]
-                if name == "p" or (group and SAME.get(name) == group):
-                    del stack[depth:]
-                    break
-                if name not in INLINE:
-                    break
-        node = open_element(tag, token[3])
+            stack.start_block(tag)
+        node = open_element(tag, given)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
-            pieces.append((node, source[at : end.start() if end else size]))
-            at = end.end() if end else size
-        elif tag not in VOID and not token[3].endswith("/"):
-            stack.append(node)
+            closing = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(source, at)
+            pieces.append((node, source[at : closing.start() if closing else size]))
+            begin = at = closing.end() if closing else size
+        elif tag not in VOID and not given.endswith("/"):
+            stack.push(node, tag)
+    if begin < size:
+        pieces.append((stack.nodes[-1], source[begin:]))
     pieces.append((-1, ""))
     return page
 

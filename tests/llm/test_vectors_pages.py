@@ -1,6 +1,10 @@
 import random
+import re
 
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cartloom.llm import html_main, knn
@@ -65,3 +69,43 @@ def test_held_out_layouts():
 
 def test_decoding_keeps_ancestors():
     assert html_main.decode(np.array([5.0, -1.0, 4.0, -6.0, 1.0]), [-1, 0, 1, 0, 3]).tolist() == [True, True, True, False, False]
+
+
+@given(st.text(alphabet="<>\"'a ", max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_tags_end_like_a_plain_pattern(text):
+    plain, ends = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""), html_main._TagEnds(text)
+    for at in range(len(text)):
+        found = plain.match(text, at)
+        assert ends.tag(at) == (found.end() - 1 if found else -1)
+
+
+@given(st.lists(st.tuples(st.booleans(), st.sampled_from("div p li td tr b i span".split())), max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_open_elements_like_a_plain_walk(steps):
+    plain, stack = ["#root"], html_main._Open()
+    stack.push(0, "#root")
+    for ends, tag in steps:
+        inline = tag in html_main.INLINE
+        if ends:
+            stack.end_tag(tag)
+        elif not inline:
+            stack.start_block(tag)
+        group = html_main.SAME.get(tag)
+        for depth in range(len(plain) - 1, 0, -1) if ends or not inline else ():
+            name = plain[depth]
+            if name == tag if ends else name == "p" or (group and html_main.SAME.get(name) == group):
+                del plain[depth:]
+                break
+            if name not in html_main.INLINE and (inline or not ends):
+                break
+        if not ends:
+            stack.push(0, tag)
+            plain.append(tag)
+        assert stack.names == plain
+
+
+@pytest.mark.parametrize("page", ["<a " * 1_700_000, "<!" * 2_500_000, "<a \"<a '" * 600_000 + ">", "<div>" * 200_000 + "</section></em>" * 250_000, "<b>" * 200_000 + "<hr></i>" * 500_000])
+def test_broken_pages_of_megabytes_end(page):
+    parsed = html_main.parse(page)
+    assert sum(len(text) for _, text in parsed.pieces) + sum(len(t) + len(a) + 2 for t, a in zip(parsed.tags[1:], parsed.attributes[1:])) <= len(page)
