@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.llm.pii import running_totals
+
 #: Fixed values of the template.
 START, END = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
@@ -62,28 +64,22 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.concat(F.lit(START), _escape_role(r["role"]), F.lit("\n")).alias("head"),
         escape(r["text"]).alias("body"),
     )).alias("pieces"))
-    lengths = F.transform("pieces", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(END)).cast("long"))
-    # One pass: where each turn starts, carried along with the list of targets.
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"), F.lit(0).alias("turn"),
-        F.array().cast("array<struct<turn:int,start:bigint,end:bigint>>").alias("targets"),
+    # Columns of their own, as the sums look their elements up block by block.
+    measured = pieces.withColumn(
+        "lengths", F.transform("pieces", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(END)).cast("long"))
     )
-    walked = F.aggregate(
-        F.zip_with("pieces", lengths, lambda p, n: F.struct(
-            p["trained"].alias("trained"), F.length(p["head"]).alias("head"), n.alias("all"))),
-        start,
-        lambda acc, p: F.struct(
-            (acc["at"] + p["all"]).alias("at"), (acc["turn"] + 1).alias("turn"),
-            F.when(p["trained"], F.concat(acc["targets"], F.array(F.struct(
-                acc["turn"].alias("turn"), (acc["at"] + p["head"]).alias("start"),
-                (acc["at"] + p["all"] - len(END)).alias("end"),
-            )))).otherwise(acc["targets"]).alias("targets"),
-        ),
-    )["targets"]
-    return pieces.select(
+    placed = measured.withColumn("starts", running_totals(F.col("lengths")))
+    marked = F.transform(F.arrays_zip("pieces", "lengths", "starts"), lambda x, i: F.struct(
+        x["pieces"]["trained"].alias("trained"),
+        F.struct(
+            i.alias("turn"), (x["starts"] + F.length(x["pieces"]["head"])).alias("start"),
+            (x["starts"] + x["lengths"] - len(END)).alias("end"),
+        ).alias("target"),
+    ))
+    return placed.select(
         "conv_id",
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "").alias("formatted"),
-        walked.alias("targets"),
+        F.transform(F.filter(marked, lambda m: m["trained"]), lambda m: m["target"]).alias("targets"),
     )
 
 

@@ -47,3 +47,10 @@ def test_examples_are_prefixes_with_one_trained_reply(spark):
 
 def test_empty(spark):
     assert chat.report(table(spark, [])).count() == 0
+
+
+def test_a_conversation_of_many_turns(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(50_000)]
+    whole = chat.format_conversations(table(spark, rows)).first()
+    assert len(whole["targets"]) == 25_000
+    assert all(whole["formatted"][t["start"]:t["end"]] == f"t{t['turn']}" and t["turn"] % 2 for t in whole["targets"])
