@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from cartloom.llm import trees
 
-_OPENING = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+# A tag's start, and all of it where no < stands in it; that try never looks beyond the next <.
+_OPENING = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(?:((?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+)>)?""")
 _SIGNS = re.compile(r"""[>"']""")
 _NAMES = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
@@ -188,7 +189,7 @@ def parse(source: str) -> Page:
     while (start := source.find("<", at)) >= 0:
         opening = _OPENING.match(source, start)
         if opening:
-            end = ends.tag(opening.end())
+            end = opening.end() - 1 if opening[3] is not None else ends.tag(opening.end())
         elif source.startswith("<!--", start):
             end = source.find("-->", start + 4)
             end = end + 2 if end >= 0 else size - 1
@@ -204,7 +205,7 @@ def parse(source: str) -> Page:
         begin = at = end + 1
         if not opening:
             continue
-        tag, given = opening[2].lower(), source[opening.end() : end]
+        tag, given = opening[2].lower(), source[opening.end(2) : end]
         inline = tag in INLINE
         if not inline:
             pieces.append((-1, ""))
