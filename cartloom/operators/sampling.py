@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartloom.functions.hashing import draw, draw_slot
+from cartloom.operators.ordered import PART, dealt
 
 
 def draw_rows(df: DataFrame, key: Sequence[str], wanted: Column, seed: int) -> DataFrame:
@@ -39,5 +40,20 @@ def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 23) -> Da
 
 
 def first_rows(df: DataFrame, n: int = 1_000_000, order: Sequence[str] = ()) -> DataFrame:
-    """The loader's row cap: the first `n` rows, in `order` if one is given."""
-    return (df.orderBy(*order) if order else df).limit(n)
+    """The loader's row cap: the first `n` rows, in `order` if one is given (it should end in a unique column).
+
+    With an order, rows are dealt out by range of it and counted; ranges below the one where the count is reached are
+    kept whole and only that one is ranked. Without one, the scan stops as soon as it has `n` rows.
+    """
+    if not order:
+        return df.limit(n)
+    rows = dealt(df, order, [])
+    along = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per range.
+    counts = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
+    places = F.broadcast(counts.withColumn("_before", F.sum("_n").over(along) - F.col("_n")).filter(F.col("_before") < n))
+    near = rows.join(places, PART)
+    full = near.filter(F.col("_before") + F.col("_n") <= n)
+    rank = F.row_number().over(Window.partitionBy(PART).orderBy(*order))
+    last = near.filter(F.col("_before") + F.col("_n") > n).withColumn("_rank", rank).filter(F.col("_rank") <= n - F.col("_before"))
+    return full.select(*df.columns).unionByName(last.select(*df.columns))

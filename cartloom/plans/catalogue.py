@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cartloom import schemas
 from cartloom.operators import (
     analytics as A, candidates as C, evaluate as E, folds as FO, interactions as I, products as P, profile as D,
-    ranking as R, sampling as SA, sessions as S, similarity as V, users as U,
+    ranking as R, sampling as SA, sessions as S, similarity as V, sketches as SK, users as U,
 )
 from cartloom.plans import oracle
 from cartloom.plans import recommender as REC
@@ -253,6 +253,8 @@ def _running_strict(d: Data) -> DataFrame:
 
 _add("session_time_features", f"interaction_id session_id {TIMES}", lambda d: S.session_time_features(d.train))
 _add("calendar_features", f"interaction_id {CALENDAR}", lambda d: S.calendar_features(d.train))
+_add("timestamps_parsed", "interaction_id timestamp_local:t", lambda d: S.with_timestamps(
+    d.train.withColumn("timestamp_local", F.date_format("timestamp_local", "yyyy-MM-dd HH:mm:ss.SSSSSS"))))
 _add("session_size", "interaction_id total_session_interactions", lambda d: S.session_size(d.train))
 _add("product_touch_index", "interaction_id product_interaction_count", lambda d: S.product_touch_index(d.train))
 _add("train_features", f"{ROW} add_to_cart product_interaction_count", lambda d: REC.train_features(d.rows, REC.PARITY))
@@ -419,6 +421,25 @@ def _recommend_ranked(d: Data) -> DataFrame:
 # Profiles.
 _add("null_counts", "column_name:s nulls", lambda d: D.null_counts(d.train))
 _add("distinct_counts", "column_name:s distinct_values", lambda d: D.distinct_counts(d.train))
+KEYS = ("session_id", "user_id", "partnumber")
+
+
+@entry("distinct_estimates", "column_name:s distinct_values estimate error:d bound:d")
+def _estimates(d: Data) -> DataFrame:
+    """Sketches by day, merged, beside the exact counts."""
+    by_day = SK.column_sketches(d.train, [f for f in d.train.columns if f != "date"], ["date"])
+    exact = D.distinct_counts(d.train.drop("date"))
+    both = exact.join(SK.distinct_estimates(SK.merged(by_day)), "column_name")
+    return both.withColumns({
+        "error": F.abs(F.col("estimate") - F.col("distinct_values")) / F.col("distinct_values"), "bound": F.lit(SK.relative_bound()),
+    })
+
+
+@entry("overlap_estimates", "column_name:s common train_only test_only either")
+def _overlaps(d: Data) -> DataFrame:
+    return SK.overlap_estimates(SK.column_sketches(d.train, KEYS), SK.column_sketches(d.test, KEYS))
+
+
 _add("split_overview", "split:s sessions products first_date:a last_date:a", lambda d: D.split_overview(d.train, d.test))
 _add("key_overlap", "partnumber found_in:s", lambda d: D.key_overlap(d.train, d.test, "partnumber"))
 _add("common_keys", "user_id", lambda d: D.common_keys(d.train, d.test, "user_id"))

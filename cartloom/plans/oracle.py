@@ -424,6 +424,7 @@ WHERE n <= (SELECT floor(count(*) * CAST(1.5 AS DOUBLE)) FROM train WHERE add_to
     "random_rows": ("views", f"""SELECT interaction_id, partnumber FROM train
 QUALIFY row_number() OVER (ORDER BY {DRAW.format(key="interaction_id")}, interaction_id) <= 500"""),
     "first_rows": ("views", "SELECT interaction_id, partnumber FROM train ORDER BY interaction_id LIMIT 500"),
+    "timestamps_parsed": ("views", "SELECT interaction_id, timestamp_local FROM train"),
     "session_holdout": ("views", f"""SELECT session_id, CASE WHEN n <= floor(total * CAST(0.1 AS DOUBLE)) THEN 1 ELSE 0 END AS held FROM (
   SELECT session_id, row_number() OVER (ORDER BY {DRAW.format(key="session_id")}, session_id) AS n, count(*) OVER () AS total
   FROM (SELECT DISTINCT session_id FROM train))"""),
