@@ -328,6 +328,13 @@ def _csv_round_trip(d: Data) -> DataFrame:
 
 _add("parquet_projection", "session_id partnumber", lambda d: readers.load_data(
     d.spark, _written(d.train, "parquet"), file_type="parquet", select_cols=["session_id", "partnumber"]))
+def _bucketed(d: Data, df: DataFrame) -> DataFrame:
+    path = new_path(d.spark, "bucketed")
+    name = path.rpartition("/")[2].replace("-", "_")
+    return writers.write_bucketed(df, name, path, order=["timestamp_local", "interaction_id"], buckets=16)
+
+
+_add("session_size_bucketed", "interaction_id total_session_interactions", lambda d: S.session_size(_bucketed(d, d.train)))
 _add("merged_batches", "user_id country R F M:d", lambda d: readers.merge_batches(d.spark, _written(d.users, "parquet")))
 
 

@@ -381,6 +381,7 @@ CASE WHEN known_user = -1 THEN -1 ELSE rows_so_far - 1 END AS user_previous_inte
     "session_time_features": ("views rows", "SELECT * FROM row_fe WHERE flag = 1"),
     "calendar_features": ("views rows", "SELECT * FROM row_fe WHERE flag = 1"),
     "session_size": ("views rows", "SELECT * FROM row_fe WHERE flag = 1"),
+    "session_size_bucketed": ("views rows", "SELECT * FROM row_fe WHERE flag = 1"),
     "product_touch_index": ("views rows", "SELECT * FROM train_fe"),
     "train_features": ("views rows", "SELECT * FROM train_fe"),
     "assembled_train": ("views users products rows", ASSEMBLED),
