@@ -88,6 +88,9 @@ def _nearest_reps(reps: DataFrame, k: int, block_rows: int) -> DataFrame:
     near = own.select("rep", F.explode(F.arrays_zip("others", "cosines")).alias("_n")).select(
         "rep", F.col("_n.others").alias("other"), F.col("_n.cosines").alias("cosine")
     )
+    if groups.blocks.sum() == 1:
+        # No other block to meet.
+        return near
     far = G.meet(own.drop("others", "cosines"), groups, OTHER_BLOCK, block_rows, kernel, "rep long, other long, cosine double")
     return _best(near.unionByName(far), k)
 
