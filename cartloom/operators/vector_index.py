@@ -167,8 +167,8 @@ class Settings:
     shortlist: exact comparisons per query, as a multiple of the neighbours wanted."""
 
     lists: int | None = None
-    probes: int = 32
-    shortlist: int = 4
+    probes: int = 16
+    shortlist: int = 8
 
 
 def nearest_indexed(reps: DataFrame, k: int, settings: Settings) -> DataFrame:
