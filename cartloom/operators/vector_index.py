@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.vectors import with_unit_vector
@@ -109,56 +109,97 @@ def _probing(units: DataFrame, index: Index, probes: int) -> DataFrame:
     return found.select("rep", "unit", F.explode("lists").alias("list"))
 
 
-def _short_lists(units: DataFrame, coded: DataFrame, index: Index, probes: int, shortlist: int) -> DataFrame:
-    """(rep, other): the vectors with the best estimates for each query."""
+@dataclass(frozen=True)
+class _Cells:
+    """The (list, part, block) in which queries and members of a list meet.
+
+    Long lists are cut into blocks, many queries into parts; every part meets every block.
+    """
+
+    plan: DataFrame
+    probing: DataFrame
+    coded: DataFrame
+
+    def members(self, *columns: str) -> DataFrame:
+        part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        return self.coded.join(self.plan, "list").select("list", part, _slot("blocks").alias("block"), *columns)
+
+    def queries(self, *columns: str) -> DataFrame:
+        block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        return self.probing.join(self.plan, "list").select("list", _slot("parts").alias("part"), block, *columns)
+
+
+def _slot(count: str) -> Column:
+    return F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
+
+
+def _cells(units: DataFrame, coded: DataFrame, index: Index, probes: int) -> _Cells:
+    rows = min(LIST_ROWS, G.most_rows(index.centres.shape[1]))
+    # One row per centre.
+    sizes = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias("blocks"))
+    probing = _probing(units, index, probes)
+    demand = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_ROWS)).cast("int").alias("parts"))
+    return _Cells(F.broadcast(sizes.join(F.broadcast(demand), "list")), probing, coded)
+
+
+def _short_lists(cells: _Cells, index: Index, shortlist: int) -> DataFrame:
+    """(rep, short): the vectors with the best estimates for each query, each as (others, list, block)."""
     width = index.books.shape[0]
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["unit"].notna().to_numpy()
         asking, kept = pdf[asks], pdf[~asks].sort_values("rep")
-        found = [pd.DataFrame({"rep": [], "other": [], "estimate": []})]
-        if len(asking) and len(kept):
-            own, others = asking["rep"].to_numpy(), kept["rep"].to_numpy()
-            mat = G.matrix(asking["unit"])
-            codes = np.frombuffer(b"".join(kept["codes"]), dtype=np.uint8).reshape(-1, width)
-            for start in range(0, len(own), CHUNK_ROWS):
-                score = np.round(index.scores(mat[start:start + CHUNK_ROWS], int(pdf["list"].iat[0]), codes), 9)
-                best = np.argsort(-score, axis=1, kind="stable")[:, :shortlist]
-                found.append(pd.DataFrame({
-                    "rep": np.repeat(own[start:start + CHUNK_ROWS], best.shape[1]), "other": others[best].ravel(),
-                    "estimate": np.take_along_axis(score, best, axis=1).ravel(),
-                }))
-        return pd.concat(found[1:] or found, ignore_index=True)
-
-    # Long lists are cut into blocks, many queries into parts; every part meets every block. One row per centre.
-    sizes = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(LIST_ROWS)).cast("int").alias("blocks"))
-    probing = _probing(units, index, probes)
-    demand = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_ROWS)).cast("int").alias("parts"))
-    plan = F.broadcast(sizes.join(F.broadcast(demand), "list"))
-    part, block = (F.pmod(F.xxhash64("rep"), F.col(c)).cast("int") for c in ("parts", "blocks"))
-    asked = probing.join(plan, "list").select(
-        "list", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "rep", "unit", F.lit(None).cast("binary").alias("codes")
-    )
-    kept = coded.join(plan, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block.alias("block"), "rep", F.lit(None).cast("array<double>").alias("unit"), "codes"
-    )
-    local = asked.unionByName(kept).groupBy("list", "part", "block").applyInPandas(kernel, "rep long, other long, estimate double")
-    best = Window.partitionBy("rep").orderBy(F.col("estimate").desc(), "other")
-    return local.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= shortlist).select("rep", "other")
-
-
-def _exact(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """(rep, other, cosine) of the short lists, from the vectors themselves."""
-
-    def run(frames):
-        for pdf in frames:
-            if len(pdf):
-                cosine = np.einsum("ij,ij->i", G.matrix(pdf["unit"]), G.matrix(pdf["other_unit"]))
-                yield pdf[["rep", "other"]].assign(cosine=np.round(cosine, 9))
+        if not len(asking) or not len(kept):
+            return pd.DataFrame({"rep": [], "list": [], "block": [], "others": [], "less": []})
+        own, others = asking["rep"].to_numpy(), kept["rep"].to_numpy()
+        mat, near, less = G.matrix(asking["unit"]), [], []
+        codes = np.frombuffer(b"".join(kept["codes"]), dtype=np.uint8).reshape(-1, width)
+        for start in range(0, len(own), CHUNK_ROWS):
+            score = np.round(index.scores(mat[start:start + CHUNK_ROWS], int(pdf["list"].iat[0]), codes), 9)
+            best = np.argsort(-score, axis=1, kind="stable")[:, :shortlist]
+            near += list(others[best])
+            less += list(-np.take_along_axis(score, best, axis=1))
+        return pd.DataFrame({"rep": own, "list": pdf["list"].iat[0], "block": pdf["block"].iat[0], "others": near, "less": less})
+
+    asked = cells.queries("rep", "unit", F.lit(None).cast("binary").alias("codes"))
+    kept = cells.members("rep", F.lit(None).cast("array<double>").alias("unit"), "codes")
+    # A query's best of one list travel as one row.
+    local = asked.unionByName(kept).groupBy("list", "part", "block").applyInPandas(kernel, "rep long, list int, block int, others array<long>, less array<double>")
+    entries = F.transform(F.arrays_zip("less", "others"), lambda n: F.struct(n["less"].alias("less"), n["others"].alias("others"), F.col("list").alias("list"), F.col("block").alias("block")))
+    merged = local.groupBy("rep").agg(F.flatten(F.collect_list(entries)).alias("_all"))
+    short = F.transform(F.slice(F.sort_array("_all"), 1, shortlist), lambda n: F.struct(n["others"].alias("others"), n["list"].alias("list"), n["block"].alias("block")))
+    return merged.select("rep", short.alias("short"))
+
+
+def _exact(short: DataFrame, units: DataFrame, cells: _Cells, k: int) -> DataFrame:
+    """(rep, others, less): exact cosines of the short lists, negated, from the vectors themselves, per list the k best.
+
+    A query goes once to each list that its short list has entries of, not once to each entry.
+    """
 
-    others = units.select(F.col("rep").alias("other"), F.col("unit").alias("other_unit"))
-    both = pairs.join(others, "other").join(units, "rep").select("rep", "other", "unit", "other_unit")
-    return both.mapInPandas(run, "rep long, other long, cosine double")
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        asks = pdf["wanted"].notna().to_numpy()
+        asking, kept = pdf[asks], pdf[~asks].sort_values("rep")
+        if not len(asking) or not len(kept):
+            return pd.DataFrame({"rep": [], "others": [], "less": []})
+        mat, other_mat, others = G.matrix(asking["unit"]), G.matrix(kept["unit"]), kept["rep"].to_numpy()
+        near, less = [], []
+        for own, wanted in zip(mat, asking["wanted"], strict=True):
+            at = np.sort(np.searchsorted(others, np.asarray(wanted)))
+            cosine = np.round(other_mat[at] @ own, G.DECIMALS) + 0.0
+            best = np.argsort(-cosine, kind="stable")[:k]
+            near.append(others[at[best]])
+            less.append(-cosine[best])
+        return pd.DataFrame({"rep": asking["rep"].to_numpy(), "others": near, "less": less})
+
+    spots = F.array_distinct(F.transform("short", lambda n: F.struct(n["list"].alias("list"), n["block"].alias("block"))))
+    each = short.join(units, "rep").select("rep", "unit", "short", F.explode(spots).alias("_spot"))
+    here = F.filter("short", lambda n: (n["list"] == F.col("_spot.list")) & (n["block"] == F.col("_spot.block")))
+    wanted = F.transform(here, lambda n: n["others"])
+    asked = each.select(F.col("_spot.list").alias("list"), F.col("_spot.block").alias("block"), "rep", "unit", wanted.alias("wanted"))
+    asked = asked.join(cells.plan, "list").select("list", _slot("parts").alias("part"), "block", "rep", "unit", "wanted")
+    kept = cells.members("rep").join(units, "rep").select("list", "part", "block", "rep", "unit", F.lit(None).cast("array<long>").alias("wanted"))
+    return asked.unionByName(kept).groupBy("list", "part", "block").applyInPandas(kernel, "rep long, others array<long>, less array<double>")
 
 
 @dataclass(frozen=True)
@@ -172,11 +213,12 @@ class Settings:
 
 
 def nearest_indexed(reps: DataFrame, k: int, settings: Settings) -> DataFrame:
-    """(rep, other, cosine): of the short list of each vector, the k most similar; cosines are exact."""
+    """(rep, others, less): of the short list of each vector, the most similar, k of each list; minus the exact cosines."""
     units = stage(with_unit_vector(reps, "embedding", "unit").select("rep", "unit"), "units")
     index = train(units, settings.lists or min(G.MAX_GROUPS, -(-units.count() // 500)))
     if index is None:
-        return units.select("rep", F.col("rep").alias("other"), F.lit(1.0).alias("cosine"))
+        return units.select("rep", F.array("rep").alias("others"), F.array(F.lit(-1.0)).alias("less"))
     coded = stage(build(units, index), "codes")
-    short = stage(_short_lists(units, coded, index, settings.probes, settings.shortlist * k), "short")
-    return _exact(short, units)
+    cells = _cells(units, coded, index, settings.probes)
+    short = stage(_short_lists(cells, index, settings.shortlist * k), "short")
+    return _exact(short, units, cells, k)
