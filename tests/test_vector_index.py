@@ -48,3 +48,18 @@ def test_few_odd_and_no_vectors(spark):
     assert {(r.partnumber, r.neighbour) for r in V.top_k_similar_indexed(same, 2).collect()} == {(a, b) for a in range(3) for b in range(3) if a != b}
     assert V.top_k_similar_indexed(frame(spark, [[0.0, 0.0]])).count() == 0
     assert V.top_k_similar_indexed(same.filter("partnumber < 0")).count() == 0
+
+
+def test_short_lists_travel_with_few_vectors(spark, units):
+    """Exact products: each vector meets a list once, however many entries of its short list are there."""
+    table = spark.createDataFrame([(i, [float(x) for x in u]) for i, u in enumerate(units)], "rep long, unit array<double>").cache()
+    index = VI.train(table, 3)
+    cells = VI._cells(table, VI.build(table, index).cache(), index, 3)
+    short = VI._short_lists(cells, index, 20).cache()
+    assert short.count() == 300 and {len(r.short) for r in short.collect()} == {20}
+    exact = VI._exact(short, table, cells, 5)
+    assert exact.count() <= 3 * 300
+    best = {r.rep: sorted(zip(r.less, r.others)) for r in V._best(exact, 5).groupBy("rep").agg(
+        V.F.collect_list(-V.F.col("cosine")).alias("less"), V.F.collect_list("other").alias("others")).collect()}
+    listed = {r.rep: {e.others for e in r.short} for r in short.collect()}
+    assert all(len(b) == 5 and {o for _, o in b} <= listed[rep] for rep, b in best.items())
