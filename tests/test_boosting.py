@@ -174,3 +174,19 @@ def test_learns_order_and_stops(spark):
     assert len(classes.trees) == 4
     means = {r["add_to_cart"]: r["m"] for r in B.predict(df, classes).groupBy("add_to_cart").agg(F.avg("score").alias("m")).collect()}
     assert means[1] > means[0] + 0.5
+
+
+def test_blobs_without_python_objects():
+    import pyarrow as pa
+
+    rows = np.random.default_rng(1).normal(size=(50, 3))
+    packed = B._packed(rows)
+    assert packed.type == pa.binary() and packed.to_pylist() == [r.tobytes() for r in rows]
+    # Slices that do not start at the first value.
+    assert (B._unpacked(packed.slice(7, 20), np.float64).reshape(-1, 3) == rows[7:27]).all()
+    assert len(B._unpacked(packed.slice(3, 0), np.uint8)) == 0
+
+
+def test_places_of_rows():
+    block = B._Block(*[np.empty(0)] * 3, np.array([0, 0, 0, 1, 1, 2]), np.array([3, 8, 9, 1, 8, 9]), *[np.empty(0)] * 3)
+    assert block.places(np.array([0, 1, 1, 2, 2, 0]), np.array([8, 8, 9, 9, 100, -5])).tolist() == [1, 4, -1, 5, -1, -1]
