@@ -100,3 +100,19 @@ def test_min_adds(spark):
     df = spark.createDataFrame([(1, 1)] * 5 + [(2, 1)] * 4 + [(2, 0)], "session_id long, add_to_cart int")
     assert {r.session_id for r in FO.sessions_with_min_adds(df, 5).collect()} == {1}
     assert {(r.session_id, r["rows"]) for r in FO.group_sizes(df).collect()} == {(1, 5), (2, 5)}
+
+
+def test_fit_reads_rows_written_once(spark, monkeypatch):
+    """The joins for hold-out and weights run once per fit, not in each pass of the fit."""
+    from pyspark.ml import Pipeline
+
+    from cartloom.operators import ranking as R
+    from cartloom.operators.folds import session_holdout
+
+    rows = spark.createDataFrame([(i // 4, float(i % 7), i % 3 == 0) for i in range(400)], "session_id long, R double, add_to_cart boolean")
+    plans = []
+    fit = Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fit(self, df))
+    model = R.fit_ranker(*session_holdout(rows.withColumn("add_to_cart", rows.add_to_cart.cast("int")), 0.2), features=("R",), rounds=2)
+    assert len(plans) == 1 and "Join" not in plans[0]
+    assert R.feature_names(model) == ["R"]
