@@ -285,7 +285,7 @@ def _links(pairs: DataFrame, minima_of: DataFrame, classes: DataFrame, docs: Dat
     right = minima_of.select(F.col("id").alias("b"), F.col("minima").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     likely = stage(both.mapInArrow(_likely(settings), "a bigint, b bigint"), "neardup-likely")
-    needed = likely.select(F.col("a").alias("id")).union(likely.select(F.col("b").alias("id"))).distinct()
+    needed = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = _sets(needed, classes, docs, settings)
     full = (
         likely.join(sets.select(F.col("id").alias("a"), F.col("members").alias("left")), "a")
@@ -296,38 +296,43 @@ def _links(pairs: DataFrame, minima_of: DataFrame, classes: DataFrame, docs: Dat
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One large-star or small-star step over edges (a, b) with a < b."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = both.join(least, "u")
+    """One large-star or small-star step over edges (a, b) with a < b.
+
+    Each names `edges` twice only: the driver plans, describes and logs every mention of a step's input anew.
+    """
     if large:
-        moved = joined.filter(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+        least = _ends(edges).groupBy(F.col("id").alias("a")).agg(F.least(F.min("other"), F.col("a")).alias("m"))
+        moved = edges.join(least, "a").select(F.col("m").alias("a"), "b")
     else:
-        below = joined.filter(F.col("v") < F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
-        moved = below.union(joined.filter(F.col("m") < F.col("u")).select(F.col("m").alias("a"), F.col("u").alias("b")))
+        # Only smaller neighbours count, and all of them go to the least one, as does b itself.
+        least = edges.groupBy("b").agg(F.min("a").alias("m"))
+        moved = edges.join(least, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
     return moved.filter(F.col("a") < F.col("b")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("a", "b"), 20))).first()
-    return row[0], row[1] or 0
+def _ends(edges: DataFrame) -> DataFrame:
+    """Both ends of every edge (a, b): id, the id at the other end, and whether it lies below that (1 or 0)."""
+    ways = [("a", "b", 0), ("b", "a", 1)]
+    both = F.array(*[F.struct(F.col(x).alias("id"), F.col(y).alias("other"), F.lit(below).alias("below")) for x, y, below in ways])
+    return edges.select(F.explode(both).alias("end")).select("end.*")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every id lies below one other at most, and then above none: every edge leads to the smallest id."""
+    each = _ends(edges).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("below").alias("below"))
+    return each.filter((F.col("below") > 0) & (F.col("n") > 1)).agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(links: DataFrame) -> DataFrame:
     """For every id in a link (a, b): (id, component), the smallest id it is connected with.
 
-    Alternates large-star and small-star until the edges stay the same: then every edge leads to the smallest id.
+    Alternates large-star and small-star until every edge leads to the smallest id.
     """
     edges = stage(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(F.col("a") < F.col("b")).distinct(), "neardup-edges"
     )
-    before = _state(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = stage(_star(_star(edges, True), False), "neardup-edges")
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
     return edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
 
 
@@ -337,21 +342,17 @@ def _with_components(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     return members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def _order(number: int) -> Column:
-    return F.struct(F.xxhash64("id", F.lit(number)).alias("rank"), F.col("id").alias("id"))
+def _hub(number: int) -> Column:
+    """The member of a bucket that comes first in an order of its own for each number."""
+    first = F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("rank"), "id", "component"))
+    return F.struct(first["id"].alias("hub"), first["component"].alias("hub_component"))
 
 
 def _hub_pairs(members: DataFrame, first: int, settings: Settings) -> DataFrame:
     """Every member paired with the hubs of its bucket, as far as they lie in different components."""
-    hubs = members.groupBy("bucket").agg(
-        F.array_distinct(F.array(*[F.min(_order(first + k))["id"] for k in range(settings.hubs)])).alias("hubs")
-    )
-    each = hubs.select("bucket", F.explode("hubs").alias("hub")).join(
-        members.select("bucket", F.col("id").alias("hub"), F.col("component").alias("hub_component")), ["bucket", "hub"]
-    )
     # Dealt by bucket alone; the three hubs of a bucket ride along as one array.
-    packed = each.groupBy("bucket").agg(F.collect_list(F.struct("hub", "hub_component")).alias("hubs"))
-    spread = members.join(packed, "bucket").select("id", "component", F.explode("hubs").alias("h"))
+    hubs = members.groupBy("bucket").agg(F.array_distinct(F.array(*[_hub(first + k) for k in range(settings.hubs)])).alias("hubs"))
+    spread = members.join(hubs, "bucket").select("id", "component", F.explode("hubs").alias("h"))
     apart = spread.filter(F.col("component") != F.col("h.hub_component"))
     return apart.select(F.least("id", "h.hub").alias("a"), F.greatest("id", "h.hub").alias("b")).distinct()
 

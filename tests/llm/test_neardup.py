@@ -64,3 +64,38 @@ def test_components_of_a_chain(spark):
     pairs = [(i + 1, i) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     rows = neardup.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
     assert {r["id"]: r["component"] for r in rows} == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100}
+
+
+def test_components_of_random_links(spark):
+    draw = random.Random(5)
+    for many in (12, 40, 70):
+        pairs = [(draw.randrange(60), draw.randrange(60)) for _ in range(many)]
+        parent = list(range(60))
+
+        def find(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for a, b in pairs:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+        linked = {i for a, b in pairs if a != b for i in (a, b)}
+        rows = neardup.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()
+        assert {r["id"]: r["component"] for r in rows} == {i: find(i) for i in linked if find(i) != i}
+
+
+def test_stars_are_planned_small_and_once(spark, monkeypatch):
+    def leaves(frame):
+        return frame._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+    written = []
+    real = neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, name: written.append(leaves(df)) or real(df, name))
+    # Links that lead to the smallest id already need no step, others none beyond the one that settles them.
+    neardup.components(spark.createDataFrame([(1, 2), (3, 1), (9, 8)], "a bigint, b bigint"))
+    assert len(written) == 1
+    neardup.components(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a bigint, b bigint"))
+    assert len(written) >= 3 and max(written) <= 4
+    members = spark.createDataFrame([(b, i, i) for b in range(3) for i in range(20)], "bucket bigint, id bigint, component bigint")
+    assert leaves(neardup._hub_pairs(members, 0, neardup.Settings())) == 2
