@@ -1,41 +1,46 @@
 """Boosted trees grown from distributed histograms, for ranking by NDCG and for two classes.
 
 Features become bins (one byte each, bin 0 for nulls) and rows are put together by session in chunks of at most
-CHUNK rows, written once. Several models, such as those of all folds, are fitted in the same passes over that table.
-
-A round is two kinds of jobs. The first finds every session's best k rows by score and from them the gradients. In NDCG@k a pair
-of rows changes nothing unless one of the two is among the best k, so each row meets only those, whatever the
-session's size; no pairs are formed as rows, and a large session is spread over its chunks. The second adds up histograms of
-the gradients for all leaves that may be split next, in the tasks first, and finds the best bin and the better side for nulls per
-leaf and feature. Trees grow best-first: leaves that the order of gains may reach are looked at ahead, so a tree takes
-about as many passes as it has levels and not one per leaf.
-
-Only bin edges, one split per leaf, and sums of NDCG come to the driver.
+CHUNK rows. Several models, such as those of all folds, are fitted in the same passes over them.
+
+A round is two kinds of jobs. The first adds the last trees to the scores, finds every session's best k rows and from them the
+gradients, and writes the rows anew with both. In NDCG@k a pair of rows changes nothing unless one of the two is among the best
+k, so each row meets only those, whatever the session's size; no pairs are formed as rows. A session of one chunk is worked out where
+it lies, without an exchange; only sessions of several chunks bring their chunks' best rows together first. The second adds up
+histograms of the gradients for all leaves that may be split next, in the tasks first, and of two sides of a split only for the
+smaller: the other's is the difference from their parent's. Trees grow best-first: leaves that the order of gains may reach are
+looked at ahead, so a tree takes about as many passes as it has levels and not one per leaf.
+
+Bin edges, the summed histograms of the leaves in question (as many bytes as bins, features and leaves make, whatever the rows), and
+sums of NDCG come to the driver, which finds the best bin and the better side for nulls. Of the tables written, the last two are kept.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.session import stage
+from cartloom.session import drop_written, write_new
 
-# Rows of one session that travel together, and rounds after which scores are written instead of worked out from the trees.
-CHUNK, SNAPSHOT = 4096, 16
+# Rows of one session that travel together, rows of a written record of whole sessions, and rows that are worked on at once.
+CHUNK, BLOCK, SLAB = 4096, 2048, 65536
 TRAIN, WATCH, HELD = 0, 1, 2
 
 
-def _packed(rows: np.ndarray) -> pa.Array:
-    """The lines of a matrix as binary values, without a Python object for each."""
+def _packed(rows: np.ndarray, firsts: np.ndarray | None = None) -> pa.Array:
+    """The lines of a matrix as binary values, without a Python object for each; with `firsts`, the lines between two of these as one value."""
     rows = np.ascontiguousarray(rows)
-    ends = np.arange(len(rows) + 1, dtype=np.int64) * (rows.dtype.itemsize * rows.shape[1])
-    return pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)]).cast(pa.binary())
+    firsts = np.arange(len(rows) + 1) if firsts is None else firsts
+    ends = np.ascontiguousarray(firsts, dtype=np.int64) * (rows.dtype.itemsize * math.prod(rows.shape[1:]))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(rows)]).cast(pa.binary())
 
 
 def _unpacked(column: pa.Array, kind: type) -> np.ndarray:
@@ -88,19 +93,36 @@ class Tree:
                 column.append(value)
         return self.left[node], self.right[node]
 
-    def places(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of every row of bins."""
-        feature, at, nulls_left = np.array(self.feature), np.array(self.bin), np.array(self.nulls_left)
-        left, right = np.array(self.left), np.array(self.right)
-        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        while (inner := feature[node] >= 0).any():
-            value = x[rows, np.maximum(feature[node], 0)]
-            goes_left = np.where(value == 0, nulls_left[node], value <= at[node])
-            node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
-        return node
+    def reach(self, columns: np.ndarray, rows: np.ndarray, wanted: Sequence[int] | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """Those of `rows` that come to each leaf, or to each of the `wanted` nodes; `columns` has the bins by feature."""
+        ends = {n for n, f in enumerate(self.feature) if f < 0} if wanted is None else set(wanted)
+        parent = {child: node for node, f in enumerate(self.feature) if f >= 0 for child in (self.left[node], self.right[node])}
+        on_the_way = set()
+        for node in ends:
+            while node not in on_the_way:
+                on_the_way.add(node)
+                node = parent.get(node, 0)
+        todo = [(0, rows)] if ends else []
+        while todo:
+            node, rows = todo.pop()
+            if node in ends:
+                yield node, rows
+                continue
+            goes_left = np.arange(256) <= self.bin[node]
+            goes_left[0] = self.nulls_left[node]
+            side = goes_left.take(columns[self.feature[node]].take(rows))
+            for child, own in ((self.right[node], ~side), (self.left[node], side)):
+                if child in on_the_way:
+                    todo.append((child, rows[own]))
+
+    def add_values(self, columns: np.ndarray, to: np.ndarray) -> None:
+        for node, rows in self.reach(columns, np.arange(columns.shape[1])):
+            to[rows] += self.value[node]
 
     def values(self, x: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.places(x)]
+        out = np.zeros(len(x))
+        self.add_values(np.ascontiguousarray(x.T), out)
+        return out
 
 
 @dataclass(frozen=True)
@@ -114,8 +136,8 @@ class Bins:
         out = np.zeros((len(columns[0]), len(columns)), dtype=np.uint8)
         for place, (column, edges) in enumerate(zip(columns, self.edges, strict=True)):
             if pa.types.is_string(column.type):
-                number = {v: i + 1 for i, v in enumerate(edges)}
-                out[:, place] = [number.get(v, 0) for v in column.to_pylist()]
+                number = pc.index_in(column, pa.array(edges, pa.string()), skip_nulls=True)
+                out[:, place] = pc.fill_null(number, -1).to_numpy(zero_copy_only=False) + 1
             else:
                 value = column.cast(pa.float64()).to_numpy(zero_copy_only=False)
                 out[:, place] = np.where(np.isnan(value), 0, 1 + np.searchsorted(np.array(edges, dtype=np.float64), value))
@@ -161,14 +183,16 @@ def find_bins(df: DataFrame, features: Sequence[str], bins: int = 63) -> Bins:
 
 
 def chunks(df: DataFrame, bins: Bins, roles: Sequence[Column], *, row: str = "interaction_id", label: str = "add_to_cart", k: int = 5) -> DataFrame:
-    """The written table of chunks: session_id, chunk, roles (one per model), ideal, and per row: x, label, row.
+    """The table of chunks: session_id, chunk, parts (the session's chunks), roles (one per model), ideal, and per row: x, label, row.
 
     `roles` must be the same for all rows of a session (TRAIN, WATCH, HELD). ideal: the session's highest DCG@k.
     """
     names = [f"_f{i}" for i in range(len(bins.features))]
     given = [c.alias(n) for c, n in zip(_inputs(df, bins.features), names, strict=True)]
     marks = [r.cast("tinyint").alias(f"_r{i}") for i, r in enumerate(roles)]
-    slim = df.select(F.col("session_id").cast("bigint").alias("session_id"), F.col(row).cast("bigint").alias("row"), F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("label"), *marks, *given)
+    labelled = F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("label")
+    known = df.filter(F.col("session_id").cast("bigint").isNotNull())
+    slim = known.select(F.col("session_id").cast("bigint").alias("session_id"), F.col(row).cast("bigint").alias("row"), labelled, *marks, *given)
 
     first = 3 + len(marks)
 
@@ -181,19 +205,22 @@ def chunks(df: DataFrame, bins: Bins, roles: Sequence[Column], *, row: str = "in
             )
 
     rows = slim.mapInArrow(binned, "session_id bigint, row bigint, label int, roles binary, x binary")
-    sizes = rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
-    gains = F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.lit(0.0), lambda acc, i: acc + F.when(i <= F.col("positives"), F.lit(1.0) / F.log2(i + F.lit(1.0))).otherwise(0.0))
-    number = F.pmod(F.xxhash64("row"), F.ceil(F.col("n") / CHUNK))
-    placed = rows.join(sizes, "session_id").withColumns({"ideal": gains, "chunk": number})
-    packed = placed.groupBy("session_id", "chunk").agg(
-        F.first("roles").alias("roles"), F.first("ideal").alias("ideal"), F.sort_array(F.collect_list(F.struct("row", "label", "x"))).alias("rows")
+    # Sessions of more than a chunk, of three columns: at most one for every CHUNK rows. Their first row is in chunk 0, which so is never empty.
+    sizes = slim.select("session_id", "row", "label").groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"), F.min("row").alias("start"))
+    long = sizes.filter(F.col("n") > CHUNK).select("session_id", "positives", "start", F.ceil(F.col("n") / CHUNK).alias("parts"))
+    placed = rows.join(long, "session_id", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    number = F.when(F.col("row") == F.col("start"), 0).otherwise(F.pmod(F.xxhash64("row"), F.col("parts")))
+    packed = placed.withColumn("chunk", number).groupBy("session_id", "chunk").agg(
+        F.first("roles").alias("roles"), F.first("parts").cast("int").alias("parts"), F.coalesce(F.first("positives"), F.sum("label")).alias("positives"),
+        F.sort_array(F.collect_list(F.struct("row", "label", "x"))).alias("rows"),
     )
-    return packed.select("session_id", "chunk", "roles", "ideal", F.col("rows.row").alias("row"), F.col("rows.label").alias("label"), F.col("rows.x").alias("x"))
+    gains = F.aggregate(F.sequence(F.lit(1), F.lit(k)), F.lit(0.0), lambda acc, i: acc + F.when(i <= F.col("positives"), F.lit(1.0) / F.log2(i + F.lit(1.0))).otherwise(0.0))
+    return packed.select("session_id", "chunk", "parts", "roles", gains.alias("ideal"), F.col("rows.row").alias("row"), F.col("rows.label").alias("label"), F.col("rows.x").alias("x"))
 
 
 @dataclass
 class _Block:
-    """A batch of chunks as flat arrays; `chunk` is the chunk of every row."""
+    """A batch of chunks or of packed records as flat arrays; `chunk` is the line (session, or chunk of one) of every row."""
 
     session: np.ndarray
     roles: np.ndarray
@@ -207,18 +234,25 @@ class _Block:
     @classmethod
     def read(cls, batch: pa.RecordBatch, models: int, trees: list[list[Tree]]) -> _Block:
         rows = batch.column("row")
-        count = np.diff(rows.offsets.to_numpy())
-        x = _unpacked(batch.column("x").flatten(), np.uint8).reshape(int(count.sum()), -1)
-        base = _unpacked(batch.column("base"), np.float64).reshape(len(x), models)
-        score = base.copy()
-        for m, own in enumerate(trees):
-            for tree in own:
-                score[:, m] += tree.values(x)
-        return cls(
-            np.asarray(batch.column("session_id")), _unpacked(batch.column("roles"), np.uint8).reshape(-1, models),
-            np.asarray(batch.column("ideal")), np.repeat(np.arange(batch.num_rows), count), np.asarray(rows.flatten()),
-            np.asarray(batch.column("label").flatten()), x, score,
-        )
+        if pa.types.is_list(rows.type):
+            count = np.diff(rows.offsets.to_numpy())
+            session, ideal = np.asarray(batch.column("session_id")), np.asarray(batch.column("ideal"))
+            row, label, x = np.asarray(rows.flatten()), np.asarray(batch.column("label").flatten()), _unpacked(batch.column("x").flatten(), np.uint8)
+        else:
+            count, ideal = _unpacked(batch.column("sizes"), np.int32), _unpacked(batch.column("ideal"), np.float64)
+            session = np.repeat(np.asarray(pc.fill_null(batch.column("session_id"), -1)), _lines(batch))
+            row, label, x = (_unpacked(batch.column(c), kind) for c, kind in (("row", np.int64), ("label", np.uint8), ("x", np.uint8)))
+        x = x.reshape(int(count.sum()), -1)
+        score = _unpacked(batch.column("base"), np.float64).reshape(len(x), models).copy()
+        if any(trees):
+            columns = np.ascontiguousarray(x.T)
+            for m, own in enumerate(trees):
+                total = np.ascontiguousarray(score[:, m])
+                for tree in own:
+                    tree.add_values(columns, total)
+                score[:, m] = total
+        roles = _unpacked(batch.column("roles"), np.uint8).reshape(-1, models)
+        return cls(session, roles, ideal, np.repeat(np.arange(len(count)), count), row, label, x, score)
 
     def places(self, chunk: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Where these rows of these chunks are, -1 where they are not; a chunk's rows are in order."""
@@ -231,10 +265,59 @@ class _Block:
         return np.where((at >= 0) & (keys[at] == wanted) & (known[nearest] == row), at, -1)
 
 
+def _sizes(column: pa.Array, width: int) -> np.ndarray:
+    """Bytes of binary values in units of `width`."""
+    return np.asarray(pc.binary_length(column)) // width
+
+
+def _lines(batch: pa.RecordBatch) -> np.ndarray:
+    return _sizes(batch.column("sizes"), 4)
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of about SLAB rows."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            yield batch.slice(at, 512)
+        rows = batch.column("row")
+        count = np.diff(rows.offsets.to_numpy()) if pa.types.is_list(rows.type) else _sizes(rows, 8)
+        slab = (np.cumsum(count) - 1) // SLAB
+        firsts = np.append(np.flatnonzero(np.append(True, slab[1:] != slab[:-1])), len(slab)) if len(slab) else np.zeros(1, dtype=np.int64)
+        for at, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+            yield batch.slice(at, end - at)
+
+
+#: Columns that the rows of all rounds have.
+_STATE = "session_id bigint, chunk int, sizes binary, roles binary, ideal binary, row binary, label binary, x binary, base binary"
+_STATE_NAMES = [c.split()[0] for c in _STATE.split(", ")]
+
+
+def _pack(models: int):
+    """Chunks as records of flat arrays, scores 0: about BLOCK rows of whole sessions each, or one chunk of a session of several."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = np.asarray(batch.column("parts"))
+            for long in (False, True):
+                some = batch.filter(pa.array((parts > 1) == long))
+                if not some.num_rows:
+                    continue
+                count = np.diff(some.column("row").offsets.to_numpy())
+                ends = np.cumsum(count)
+                record = np.arange(len(count)) if long else (ends - 1) // BLOCK
+                lines = np.append(np.flatnonzero(np.append(True, record[1:] != record[:-1])), len(record))
+                rows = np.append(0, ends)[lines]
+                x = _unpacked(some.column("x").flatten(), np.uint8).reshape(int(ends[-1]), -1)
+                sessions = some.column("session_id") if long else pa.nulls(len(lines) - 1, pa.int64())
+                chunk = some.column("chunk").cast(pa.int32()) if long else pa.array(np.zeros(len(lines) - 1, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        sessions, chunk, _packed(count.astype(np.int32), lines), _packed(_unpacked(some.column("roles"), np.uint8).reshape(-1, models), lines),
+                        _packed(np.asarray(some.column("ideal")), lines), _packed(np.asarray(some.column("row").flatten()), rows),
+                        _packed(np.asarray(some.column("label").flatten()).astype(np.uint8), rows), _packed(x, rows), _packed(np.zeros((len(x), models)), rows),
+                    ],
+                    names=_STATE_NAMES,
+                )
+
+    return run
 
 
 def _rank(group: np.ndarray) -> np.ndarray:
@@ -264,39 +347,59 @@ def _best_rows(models: int, trees: list[list[Tree]], k: int):
 
 
 def pair_gradients(
-    score: np.ndarray, label: np.ndarray, row: np.ndarray, session: np.ndarray,
-    top_score: np.ndarray, top_label: np.ndarray, top_row: np.ndarray, tops: np.ndarray, ideal: np.ndarray,
+    score: np.ndarray, label: np.ndarray, session: np.ndarray, place: np.ndarray,
+    top_score: np.ndarray, top_label: np.ndarray, usable: np.ndarray, ideal: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Gradients of NDCG@k's pairs: of the rows, and what the rows outside the best k add to those (session x place).
 
-    `session` numbers the sessions' lines in top_* (best rows, `tops` of them) and `ideal`.
-    Returns (gradient, hessian, gradient of the best, hessian of the best).
+    `session` numbers the sessions' lines in top_* (best rows, those that are `usable`) and `ideal`; `place` is a row's place among
+    the best, -1 outside. Returns (gradient, hessian, gradient of the best, hessian of the best).
     """
     places = top_score.shape[1]
     discount = 1 / np.log2(np.arange(places) + 2)
-    filled = np.arange(places)[None, :] < tops[session][:, None]
-    own = (top_row[session] == row[:, None]) & filled
-    among = own.any(axis=1)
-    own_discount = np.where(among, discount[own.argmax(axis=1)], 0.0)
+    own_discount, outside = np.append(discount, 0.0)[place], place < 0
+    share = 1 / np.where(ideal > 0, ideal, 1.0)
+    # The label a row must have to form a pair with a best row; 2 where there is none.
+    other = np.where(usable & (ideal > 0)[:, None], 1 - top_label, 2).astype(np.uint8)
+    label = label.astype(np.uint8)
     gradient, hessian = np.zeros(len(score)), np.zeros(len(score))
     top_gradient, top_hessian = np.zeros(top_score.shape), np.zeros(top_score.shape)
-    with_gain = ideal[session] > 0
     for t in range(places):
-        pair = filled[:, t] & with_gain & (top_label[session, t] != label)
-        sign = np.where(label == 1, 1.0, -1.0)
-        worse = 1 / (1 + np.exp(np.clip(sign * (score - top_score[session, t]), -50, 50)))
-        change = np.where(pair, np.abs(discount[t] - own_discount) / np.where(with_gain, ideal[session], 1.0), 0.0)
-        force, bend = worse * change, worse * (1 - worse) * change
-        gradient -= sign * force
-        hessian += bend
-        outside = ~among
-        top_gradient[:, t] = np.bincount(session[outside], weights=(sign * force)[outside], minlength=len(tops))
-        top_hessian[:, t] = np.bincount(session[outside], weights=bend[outside], minlength=len(tops))
+        pair = np.flatnonzero(np.ascontiguousarray(other[:, t]).take(session) == label)
+        if not len(pair):
+            continue
+        line = session.take(pair)
+        sign = 2.0 * label.take(pair) - 1.0
+        worse = 1 / (1 + np.exp(np.clip(sign * (score.take(pair) - np.ascontiguousarray(top_score[:, t]).take(line)), -50, 50)))
+        change = np.abs(discount[t] - own_discount.take(pair)) * share.take(line)
+        force = worse * change
+        bend = force * (1 - worse)
+        force *= sign
+        gradient[pair] -= force
+        hessian[pair] += bend
+        out = np.flatnonzero(outside.take(pair))
+        line = line.take(out)
+        top_gradient[:, t] = np.bincount(line, weights=force.take(out), minlength=len(ideal))
+        top_hessian[:, t] = np.bincount(line, weights=bend.take(out), minlength=len(ideal))
     return gradient, hessian, top_gradient, top_hessian
 
 
+def _best_here(score: np.ndarray, line: np.ndarray, firsts: np.ndarray, k: int) -> np.ndarray:
+    """Where the best k rows of every line are (line x place), the earlier of equal ones first; -1 past a line's rows."""
+    left = score.copy()
+    out = np.full((len(firsts) - 1, k), -1)
+    counts = np.diff(firsts)
+    for t in range(k):
+        hit = np.flatnonzero(left == np.maximum.reduceat(left, firsts[:-1]).take(line))
+        of = line.take(hit)
+        at = hit[np.append(True, of[1:] != of[:-1])]
+        out[:, t] = np.where(t < counts, at, -1)
+        left[at] = -np.inf
+    return out
+
+
 def _tops(batch: pa.RecordBatch, models: int, k: int, width: int):
-    """The joined best rows of every chunk's session as arrays chunk x model x place: score, label, row, x, and how many."""
+    """The joined best rows of every chunk's session as arrays chunk x model x place: score, label, row, x, and which are there."""
     lists = batch.column("tops")
     count = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten()
@@ -309,9 +412,9 @@ def _tops(batch: pa.RecordBatch, models: int, k: int, width: int):
     score[at] = -np.asarray(flat.field("less"))[used]
     label[at], row[at] = np.asarray(flat.field("label"))[used], np.asarray(flat.field("row"))[used]
     x[at] = _unpacked(flat.field("x").take(pa.array(used)), np.uint8).reshape(len(used), width)
-    filled = np.zeros(shape, dtype=np.int64)
-    filled[at] = 1
-    return score, label, row, x, filled.sum(axis=2)
+    filled = np.zeros(shape, dtype=bool)
+    filled[at] = True
+    return score, label, row, x, filled
 
 
 def _bagged(row: np.ndarray, seed: int, share: float) -> np.ndarray:
@@ -321,163 +424,253 @@ def _bagged(row: np.ndarray, seed: int, share: float) -> np.ndarray:
 
 
 _GRADS = "x binary, g binary, h binary, n binary, model int, role int, total double, sessions bigint"
+_GRADS_NAMES = [c.split()[0] for c in _GRADS.split(", ")]
+_ROUND = f"{_STATE}, {_GRADS.removeprefix('x binary, ')}"
 
 
-def _gradients(models: int, trees: list[list[Tree]], turn: int, settings: Settings):
-    """Rows of bins with gradient, hessian and weight (0 or 1) for every model, and each task's sums of NDCG by model and role."""
-    discount = 1 / np.log2(np.arange(settings.k) + 2)
+def _gradients(models: int, trees: list[list[Tree]], turn: int, settings: Settings, active: Sequence[int] | None = None, written: bool = False):
+    """Rows of bins with gradient, hessian and weight (0 or 1) for every model, and each task's sums of NDCG by model and role.
 
-    def rows_out(x, g, h, n) -> pa.RecordBatch:
-        blobs = [_packed(t) for t in (x, g, h, n)]
-        size = len(x)
-        return pa.RecordBatch.from_arrays([*blobs, pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.float64()), pa.nulls(size, pa.int64())], names=_NAMES)
+    `trees` are added to the scores first. With `written`, records stay as they are but for their new scores, and get the gradients
+    of all their rows in single precision; without, every row with a weight is a record of its own, in double precision. Records
+    without `tops` are of whole sessions.
+    """
+    precision = np.float32 if written else np.float64
+    discount = 1 / np.log2(np.arange(settings.k) + 2)
+    active = range(models) if active is None else active
+    kinds = {"session_id": pa.int64(), "chunk": pa.int32(), "model": pa.int32(), "role": pa.int32(), "total": pa.float64(), "sessions": pa.int64()}
+    names = [c.split()[0] for c in _ROUND.split(", ")] if written else _GRADS_NAMES
+
+    def out(**columns: pa.Array) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(size, kinds.get(c, pa.binary())) for c in names], names=names)
+
+    def bag(row: np.ndarray, m: int) -> np.ndarray:
+        return _bagged(row, settings.seed + 7919 * turn + m, settings.row_share)
+
+    def work(batch: pa.RecordBatch, whole: bool, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        block = _Block.read(batch, models, trees)
+        size = (models, len(block.row))
+        g, h, n = np.zeros(size), np.zeros(size), np.zeros(size, dtype=np.uint8)
+        if whole:
+            firsts = np.searchsorted(block.chunk, np.arange(len(block.ideal) + 1))
+            first = np.ones(len(block.ideal), dtype=bool)
+        else:
+            tops = _tops(batch, models, settings.k, block.x.shape[1])
+            first = np.asarray(batch.column("chunk")) == 0
+        share = 1 / np.where(block.ideal > 0, block.ideal, 1)
+        for m in active:
+            score = np.ascontiguousarray(block.score[:, m])
+            if whole:
+                at = _best_here(score, block.chunk, firsts, settings.k)
+                filled = at >= 0
+                top_score, top_label = score[at], np.where(filled, block.label[at], 0).astype(np.int64)
+            else:
+                top_score, top_label, top_row, top_x, filled = (t[:, m] for t in tops)
+            gains = np.where(block.ideal > 0, (top_label * discount).sum(axis=1) * share, 0.0)
+            for role in range(3):
+                own = first & (block.roles[:, m] == role)
+                sums[m, role] += (gains[own].sum(), own.sum())
+            trained = block.roles[:, m] == TRAIN
+            used = trained[block.chunk] & bag(block.row, m)
+            if settings.objective == "ndcg":
+                place = np.full(len(score), -1)
+                if whole:
+                    place[at[filled]] = np.nonzero(filled)[1]
+                else:
+                    for t in range(settings.k):
+                        place[(top_row[block.chunk, t] == block.row) & filled[block.chunk, t]] = t
+                found = pair_gradients(score, block.label, block.chunk, place, top_score, top_label, filled & trained[:, None], block.ideal)
+                g[m], h[m] = found[:2]
+                # What a best row gets from the others goes to its own chunk's row, or on a row of its own where that is elsewhere.
+                c, t = np.nonzero(found[3] > 0)
+                to = at[c, t] if whole else block.places(c, top_row[c, t])
+                here = to >= 0
+                g[m][to[here]] += found[2][c[here], t[here]]
+                h[m][to[here]] += found[3][c[here], t[here]]
+                if not here.all():
+                    c, t = c[~here], t[~here]
+                    c, t = (v[bag(top_row[c, t], m)] for v in (c, t))
+                    more = np.zeros((3, len(c), models))
+                    more[0, :, m], more[1, :, m] = found[2][c, t], found[3][c, t]
+                    if len(c):
+                        yield out(x=_packed(top_x[c, t]), g=_packed(more[0].astype(precision)), h=_packed(more[1].astype(precision)), n=_packed(more[2].astype(np.uint8)))
+            else:
+                p = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
+                g[m], h[m] = p - block.label, p * (1 - p)
+            g[m][~used], h[m][~used], n[m] = 0, 0, used
+        if written:
+            lines = np.append(0, np.cumsum(_sizes(batch.column("row"), 8)))
+            same = {c: batch.column(c) for c in _STATE_NAMES if c != "base"}
+            yield out(**same, base=_packed(block.score, lines), g=_packed(g.T.astype(precision), lines), h=_packed(h.T.astype(precision), lines), n=_packed(n.T, lines))
+        elif (some := n.any(axis=0)).any():
+            yield out(x=_packed(block.x[some]), g=_packed(g.T[some]), h=_packed(h.T[some]), n=_packed(n.T[some]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((models, 3, 2))
         for batch in _each(batches):
-            block = _Block.read(batch, models, trees)
-            size = (len(block.row), models)
-            g, h, n = np.zeros(size), np.zeros(size), np.zeros(size, dtype=np.uint8)
-            score, label, row, x, filled = _tops(batch, models, settings.k, block.x.shape[1])
-            first = np.asarray(batch.column("chunk")) == 0
-            for m in range(models):
-                gains = np.where(block.ideal > 0, (label[:, m] * discount).sum(axis=1) / np.where(block.ideal > 0, block.ideal, 1), 0.0)
-                for role in range(3):
-                    own = first & (block.roles[:, m] == role)
-                    sums[m, role] += (gains[own].sum(), own.sum())
-                train = block.roles[block.chunk, m] == TRAIN
-                bag = _bagged(block.row, settings.seed + 7919 * turn + m, settings.row_share)
-                if settings.objective == "ndcg":
-                    found = pair_gradients(block.score[:, m], block.label, block.row, block.chunk, score[:, m], label[:, m], row[:, m], filled[:, m], block.ideal)
-                    g[:, m], h[:, m] = found[:2]
-                    # What a best row gets from the others goes to its own chunk's row, or on a row of its own where that is elsewhere.
-                    c, t = np.nonzero(found[3] > 0)
-                    at = block.places(c, row[c, m, t])
-                    here = at >= 0
-                    np.add.at(g[:, m], at[here], found[2][c[here], t[here]])
-                    np.add.at(h[:, m], at[here], found[3][c[here], t[here]])
-                    elsewhere = []
-                    for c, t in zip(c[~here], t[~here], strict=True):
-                        if block.roles[c, m] == TRAIN and _bagged(row[c, m, t : t + 1], settings.seed + 7919 * turn + m, settings.row_share)[0]:
-                            elsewhere.append((x[c, m, t], found[2][c, t], found[3][c, t]))
-                    if elsewhere:
-                        more = np.zeros((2, len(elsewhere), models))
-                        more[0, :, m], more[1, :, m] = [e[1] for e in elsewhere], [e[2] for e in elsewhere]
-                        yield rows_out(np.stack([e[0] for e in elsewhere]), more[0], more[1], np.zeros((len(elsewhere), models), dtype=np.uint8))
-                else:
-                    p = 1 / (1 + np.exp(-np.clip(block.score[:, m], -50, 50)))
-                    g[:, m], h[:, m] = p - block.label, p * (1 - p)
-                used = train & bag
-                g[~used, m], h[~used, m], n[:, m] = 0, 0, used
-            some = n.any(axis=1)
-            if some.any():
-                yield rows_out(block.x[some], g[some], h[some], n[some])
-        blank = pa.nulls(3 * models, pa.binary())
+            whole = batch.column("tops").is_null()
+            for part, flag in ((batch.filter(whole), True), (batch.filter(pc.invert(whole)), False)):
+                if part.num_rows:
+                    yield from work(part, flag, sums)
         number = np.arange(3 * models)
-        yield pa.RecordBatch.from_arrays(
-            [blank, blank, blank, blank, pa.array((number // 3).astype(np.int32)), pa.array((number % 3).astype(np.int32)), pa.array(sums[:, :, 0].ravel()), pa.array(sums[:, :, 1].ravel().astype(np.int64))], names=_NAMES
+        yield out(
+            model=pa.array((number // 3).astype(np.int32)), role=pa.array((number % 3).astype(np.int32)),
+            total=pa.array(sums[:, :, 0].ravel()), sessions=pa.array(sums[:, :, 1].ravel().astype(np.int64)),
         )
 
     return run
 
 
-_NAMES = ["x", "g", "h", "n", "model", "role", "total", "sessions"]
-
-
-def _histograms(pending: list[tuple[int, int]], trees: list[Tree], chosen: list[np.ndarray], bins: int):
+def _histograms(asked: list[tuple[int, int]], trees: list[Tree], chosen: list[np.ndarray], bins: int, width: int):
     """Per task and (model, node) and feature the sums of gradient, hessian and rows in each bin."""
 
-    nodes = [[node for m, node in pending if m == own] for own in range(len(trees))]
+    models = len(trees)
+    nodes = [[node for m, node in asked if m == own] for own in range(models)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = len(trees)
-        totals = [np.zeros((3, len(own) * len(used) * (bins + 1))) for own, used in zip(nodes, chosen, strict=True)]
+    def slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _unpacked(batch.column(0), np.uint8).reshape(batch.num_rows, -1)
-            g, h = (_unpacked(batch.column(c), np.float64).reshape(-1, models) for c in (1, 2))
+            each = max(1, SLAB * batch.num_rows // max(1, int(_sizes(batch.column(0), width).sum())))
+            for at in range(0, batch.num_rows, each):
+                yield batch.slice(at, each)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((3, len(used), len(own) * (bins + 1))) for own, used in zip(nodes, chosen, strict=True)]
+        for batch in slabs(batches):
+            columns = np.ascontiguousarray(_unpacked(batch.column(0), np.uint8).reshape(-1, width).T)
             n = _unpacked(batch.column(3), np.uint8).reshape(-1, models)
+            precision = np.float64 if _sizes(batch.column(1), 8).sum() == n.size else np.float32
+            g, h = (_unpacked(batch.column(c), precision) for c in (1, 2))
+            # Weighed rows, and rows that only carry what they got from elsewhere.
+            carrying = ~n.any(axis=1)
             for m, wanted in enumerate(nodes):
                 if not wanted:
                     continue
-                known = np.full(len(trees[m].feature), -1)
-                known[wanted] = np.arange(len(wanted))
-                # Weighed rows, and rows that only carry what they got from elsewhere.
-                own = np.flatnonzero((n[:, m] > 0) | (h[:, m] > 0))
-                leaf = known[trees[m].places(x[own])]
-                own, leaf = own[leaf >= 0], leaf[leaf >= 0]
-                used = len(chosen[m])
-                slot = ((leaf[:, None] * used + np.arange(used)[None, :]) * (bins + 1) + x[own][:, chosen[m]]).ravel()
-                for part, weight in enumerate((g[own, m], h[own, m], n[own, m].astype(np.float64))):
-                    totals[m][part] += np.bincount(slot, weights=np.repeat(weight, used), minlength=totals[m].shape[1])
+                own = np.flatnonzero((n[:, m] > 0) | carrying)
+                found = sorted(trees[m].reach(columns, own, wanted))
+                rows = np.concatenate([r for _, r in found])
+                leaf = np.repeat([wanted.index(node) * (bins + 1) for node, _ in found], [len(r) for _, r in found])
+                flat = rows * models + m
+                weights = [part.take(flat).astype(np.float64) for part in (g, h)]
+                counted = n.ravel().take(flat)
+                all_count = bool(counted.all())
+                length = len(wanted) * (bins + 1)
+                for place, feature in enumerate(chosen[m]):
+                    slot = leaf + columns[feature].take(rows)
+                    for part, weight in enumerate(weights):
+                        totals[m][part, place] += np.bincount(slot, weights=weight, minlength=length)
+                    totals[m][2, place] += np.bincount(slot if all_count else slot[counted > 0], minlength=length)
         for m, wanted in enumerate(nodes):
-            cube = totals[m].reshape(3, len(wanted), len(chosen[m]), bins + 1)
+            cube = totals[m].reshape(3, len(chosen[m]), len(wanted), bins + 1)
             for i, node in enumerate(wanted):
-                some = np.flatnonzero(cube[1, i].any(axis=1))
+                some = np.flatnonzero(cube[1:, :, i].any(axis=(0, 2)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), v, dtype=np.int32)) for v in (m, node)]
-                    + [pa.array(chosen[m][some].astype(np.int32)), pa.array([cube[:, i, f].tobytes() for f in some], pa.binary())],
-                    names=["model", "node", "feature", "sums"],
+                    + [pa.array(some.astype(np.int32)), _packed(cube[:, some, i].transpose(1, 0, 2))],
+                    names=_SUMS_NAMES,
                 )
 
     return run
 
 
-def best_split(sums: np.ndarray, least_rows: int, least_hessian: float) -> tuple[float, int, bool, float, float, float, float, float, float] | None:
-    """Of a histogram (gradient, hessian, rows) x bins the best: gain, bin, nulls left, and both sides' sums; None if no cut is allowed.
+_SUMS = "model int, node int, place int, sums binary"
+_SUMS_NAMES = [c.split()[0] for c in _SUMS.split(", ")]
 
-    Bin 0 holds the nulls, which go to the side that gains more. Ties go to the smaller bin, then to nulls on the right.
-    """
-    whole = sums.sum(axis=1)
-    best = None
-    steps = np.cumsum(sums[:, 1:], axis=1)
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tasks' histograms of the same model, node and feature as one."""
+    totals: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for *key, blob in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+            sums = np.frombuffer(blob, dtype=np.float64)
+            totals[tuple(key)] = totals[tuple(key)] + sums if tuple(key) in totals else sums
+    if totals:
+        keys = [pa.array(c, pa.int32()) for c in zip(*totals, strict=True)]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array([t.tobytes() for t in totals.values()], pa.binary())], names=_SUMS_NAMES)
+
+
+Split = tuple[float, int, bool, float, float, float, float, float, float]
+
+
+def best_splits(sums: np.ndarray, least_rows: int, least_hessian: float) -> list[Split | None]:
+    """`best_split` of every feature's histogram: (gradient, hessian, rows) x features x bins."""
+    whole = sums.sum(axis=2)
+    steps = np.cumsum(sums[:, :, 1:], axis=2)
     before = whole[0] ** 2 / (whole[1] + 1e-9)
+    best: list[Split | None] = [None] * sums.shape[1]
     for nulls_left in (False, True):
-        left = steps + sums[:, :1] if nulls_left else steps
-        right = whole[:, None] - left
+        left = steps + sums[:, :, :1] if nulls_left else steps
+        right = whole[:, :, None] - left
         ok = (np.rint(left[2]) >= least_rows) & (np.rint(right[2]) >= least_rows) & (left[1] >= least_hessian) & (right[1] >= least_hessian)
-        gains = np.where(ok, left[0] ** 2 / (left[1] + 1e-9) + right[0] ** 2 / (right[1] + 1e-9) - before, -np.inf)
-        at = int(gains.argmax())
-        if gains[at] > 1e-9 and (best is None or gains[at] > best[0] + 1e-12 * abs(best[0])):
-            best = (float(gains[at]), at + 1, nulls_left, *left[:, at].tolist(), *right[:, at].tolist())
+        gains = np.where(ok, left[0] ** 2 / (left[1] + 1e-9) + right[0] ** 2 / (right[1] + 1e-9) - before[:, None], -np.inf)
+        at = gains.argmax(axis=1)
+        most = gains[np.arange(len(at)), at]
+        for f in np.flatnonzero(most > 1e-9).tolist():
+            if best[f] is None or most[f] > best[f][0] + 1e-12 * abs(best[f][0]):
+                best[f] = (float(most[f]), int(at[f]) + 1, nulls_left, *left[:, f, at[f]].tolist(), *right[:, f, at[f]].tolist())
     return best
 
 
-_SPLITS = "model int, node int, feature int, gain double, bin int, nulls_left boolean, lg double, lh double, ln double, rg double, rh double, rn double"
+def best_split(sums: np.ndarray, least_rows: int, least_hessian: float) -> Split | None:
+    """Of a histogram (gradient, hessian, rows) x bins the best: gain, bin, nulls left, and both sides' sums; None if no cut is allowed.
 
+    Bin 0 holds the nulls, which go to the side that gains more. Ties go to the smaller bin, then to nulls on the right.
+    """
+    return best_splits(sums[:, None, :], least_rows, least_hessian)[0]
 
-def _split_rows(bins: int, settings: Settings):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[tuple[int, int, int], np.ndarray] = {}
-        for batch in batches:
-            for *key, blob in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-                sums = np.frombuffer(blob, dtype=np.float64).reshape(3, bins + 1)
-                totals[tuple(key)] = totals[tuple(key)] + sums if tuple(key) in totals else sums
-        rows = [(*key, *found) for key, sums in totals.items() if (found := best_split(sums, settings.least_rows, settings.least_hessian))]
-        if rows:
-            kinds = [pa.int32()] * 3 + [pa.float64(), pa.int32(), pa.bool_()] + [pa.float64()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in _SPLITS.split(", ")])
 
-    return run
+_SPLIT_NAMES = ("gain", "bin", "nulls_left", "lg", "lh", "ln", "rg", "rh", "rn")
 
 
 class Growth:
     """One tree grown best-first, with splits looked up ahead of the order in which they are taken."""
 
-    def __init__(self, settings: Settings) -> None:
-        self.settings, self.tree, self.ahead = settings, Tree(), {}
+    def __init__(self, settings: Settings, chosen: np.ndarray) -> None:
+        self.settings, self.chosen, self.tree, self.ahead = settings, chosen, Tree(), {}
         # The tree with all known splits, and per node its split or None.
         self.known: dict[int, dict | None] = {}
         self.pending = [0]
+        # Histograms (gradient, hessian, rows) x features x bins by node, and each node's parent and sibling.
+        self.sums: dict[int, np.ndarray] = {}
+        self.family: dict[int, tuple[int, int]] = {}
 
-    def add(self, splits: dict[int, dict]) -> None:
-        """Splits of the pending nodes; finds the nodes that have to be known next."""
+    def asked(self) -> list[int]:
+        """Nodes whose histograms are needed: the pending ones, of two siblings only the one with fewer rows."""
+        out = []
+        for node in self.pending:
+            if node in self.family:
+                parent, sibling = self.family[node]
+                split = self.known[parent]
+                rows = {self.ahead[parent][0]: split["ln"], self.ahead[parent][1]: split["rn"]}
+                node = min(node, sibling, key=lambda n: (round(rows[n]), n))
+            out.append(node)
+        return list(dict.fromkeys(out))
+
+    def histogram(self, node: int) -> np.ndarray:
+        """The node's, as found or as what its sibling leaves of their parent's."""
+        if node not in self.sums:
+            parent, sibling = self.family[node]
+            rest = self.sums[parent] - self.sums[sibling]
+            # Bins without rows: what is left there is rounding.
+            self.sums[node] = np.where((np.rint(rest[2]) == 0) & (rest[1] <= 1e-9 * self.sums[parent][1]), 0.0, rest)
+        return self.sums[node]
+
+    def split_of(self, node: int) -> dict | None:
+        """The split that gains most, of equal ones that of the first feature."""
+        found = best_splits(self.histogram(node), self.settings.least_rows, self.settings.least_hessian)
+        place = max((f for f, split in enumerate(found) if split), key=lambda f: (found[f][0], -f), default=None)
+        return None if place is None else {"feature": int(self.chosen[place]), **dict(zip(_SPLIT_NAMES, found[place], strict=True))}
+
+    def add(self, sums: dict[int, np.ndarray]) -> None:
+        """Histograms of the `asked` nodes; splits the pending ones and finds the nodes that have to be known next."""
+        empty = np.zeros((3, len(self.chosen), self.settings.bins + 1))
+        self.sums |= {node: sums.get(node, empty) for node in self.asked()}
         for node in self.pending:
-            self.known[node] = splits.get(node)
-            if found := splits.get(node):
+            self.known[node] = found = self.split_of(node)
+            if found:
                 left, right = self.tree.split(node, found["feature"], found["bin"], found["nulls_left"], found["gain"])
                 self.ahead[node] = (left, right)
+                self.family |= {left: (node, right), right: (node, left)}
                 least = 2 * self.settings.least_rows
                 for child, side in ((left, "l"), (right, "r")):
                     self.tree.value[child] = -found[f"{side}g"] / (found[f"{side}h"] + 1e-9)
@@ -527,83 +720,90 @@ def grow(grads: DataFrame, models: Sequence[int], of: int, width: int, turn: int
     rng = np.random.default_rng([settings.seed, turn])
     wanted = max(1, round(settings.feature_share * width))
     chosen = [np.sort(rng.choice(width, wanted, replace=False)) for _ in range(of)]
-    growing = [Growth(settings) if m in set(models) else None for m in range(of)]
+    growing = [Growth(settings, chosen[m]) if m in set(models) else None for m in range(of)]
     rows = grads.filter("x IS NOT NULL").select("x", "g", "h", "n")
-    while pending := [(m, node) for m, growth in enumerate(growing) if growth for node in growth.pending]:
+    while asked := [(m, node) for m, growth in enumerate(growing) if growth for node in growth.asked()]:
         trees = [growth.tree if growth else Tree() for growth in growing]
-        sums = rows.mapInArrow(_histograms(pending, trees, chosen, settings.bins), "model int, node int, feature int, sums binary")
-        splits = sums.repartition("model", "node", "feature").mapInArrow(_split_rows(settings.bins, settings), _SPLITS)
-        order = Window.partitionBy("model", "node").orderBy(F.desc("gain"), "feature")
-        best = splits.withColumn("nth", F.row_number().over(order)).filter("nth = 1").drop("nth").collect()
+        sums = rows.mapInArrow(_histograms(asked, trees, chosen, settings.bins, width), _SUMS)
+        found: dict[int, dict[int, np.ndarray]] = {}
+        for r in sums.repartition("model", "node", "place").mapInArrow(_added, _SUMS).collect():
+            shape = (3, len(chosen[r["model"]]), settings.bins + 1)
+            cube = found.setdefault(r["model"], {}).setdefault(r["node"], np.zeros(shape))
+            cube[:, r["place"]] = np.frombuffer(r["sums"], dtype=np.float64).reshape(3, -1)
         for m, growth in enumerate(growing):
             if growth and growth.pending:
-                growth.add({r["node"]: r.asDict() for r in best if r["model"] == m})
+                growth.add(found.get(m, {}))
     return [growing[m].finished(settings.rate) for m in models]
 
 
-def _based(trees: list[list[Tree]], models: int):
-    """Chunks with the scores of `trees` added to what they have."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _each(batches):
-            block = _Block.read(batch, models, trees)
-            firsts = np.searchsorted(block.chunk, np.arange(batch.num_rows + 1))
-            blobs = pa.array([block.score[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())
-            yield batch.set_column(batch.schema.get_field_index("base"), "base", blobs)
-
-    return run
-
-
 def boost(table: DataFrame, bins: Bins, models: int, settings: Settings = Settings(), report: Callable[[int, dict], None] | None = None) -> list[Model]:
     """Models fitted together on a table of `chunks`, model m on the rows whose mth role is TRAIN.
 
-    A model with WATCH rows ends at the round at which their NDCG@k was highest, `patience` rounds after it at the latest.
+    A model with WATCH rows ends at the round at which their NDCG@k was highest, `patience` rounds after it at the latest; one without,
+    at its last tree with a split.
     """
-    empty = F.array_join(F.transform("row", lambda r: F.lit("0" * 16 * models)), "")
-    state = stage(table.withColumn("base", F.unhex(empty)), "boosting-state")
-    settings = replace(settings, bins=max(settings.bins, 1))
+    spark, settings = table.sparkSession, replace(settings, bins=max(settings.bins, 1))
+    tops_kind = "array<struct<model:int,less:double,row:bigint,label:int,x:binary>>"
+    # Records of many rows: a reader holds a row group's worth of them. Files alike in size, as many for each core, are read by tasks alike.
+    options = {"parquet.block.size": 32 << 20, "compression": "lz4_raw"}
+    packed = table.mapInArrow(_pack(models), _STATE).repartition(2 * spark.sparkContext.defaultParallelism)
+    state, path = write_new(packed, "boosting-rows", **options)
+    long = bool(state.filter("session_id IS NOT NULL").select("chunk").head(1))
     width = len(bins.features)
-    trees: list[list[Tree]] = [[] for _ in range(models)]
     done: list[list[Tree]] = [[] for _ in range(models)]
+    trees: list[list[Tree]] = [[] for _ in range(models)]
     watched: list[list[float]] = [[] for _ in range(models)]
     active = list(range(models))
     for turn in range(settings.rounds + 1):
-        best = state.mapInArrow(_best_rows(models, trees, settings.k), "session_id bigint, model int, less double, row bigint, label int, x binary")
-        tops = best.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct("model", "less", "row", "label", "x"))).alias("tops"))
-        grads = stage(state.join(tops, "session_id").mapInArrow(_gradients(models, trees, turn, settings), _GRADS), "boosting-gradients")
-        found = grads.filter("model IS NOT NULL").groupBy("model", "role").agg(F.sum("total").alias("total"), F.sum("sessions").alias("sessions")).collect()
-        quality = {(r["model"], r["role"]): r["total"] / r["sessions"] for r in found if r["sessions"]}
+        given = (state.filter("session_id IS NULL") if long else state).withColumn("tops", F.lit(None).cast(tops_kind))
+        if long:
+            spread = state.filter("session_id IS NOT NULL")
+            best = spread.mapInArrow(_best_rows(models, trees, settings.k), "session_id bigint, model int, less double, row bigint, label int, x binary")
+            tops = best.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct("model", "less", "row", "label", "x"))).alias("tops"))
+            given = given.unionByName(spread.join(tops, "session_id"))
+        made, new_path = write_new(given.mapInArrow(_gradients(models, trees, turn, settings, active, True), _ROUND), "boosting-rows", **options)
+        drop_written(spark, path)
+        path, state = new_path, made.filter("row IS NOT NULL").select(*_STATE_NAMES)
+        sums: dict[tuple[int, int], list] = {}
+        for r in made.filter("model IS NOT NULL").select("model", "role", "total", "sessions").collect():
+            sums.setdefault((r["model"], r["role"]), []).append((r["total"], r["sessions"]))
+        quality = {key: math.fsum(t for t, _ in parts) / count for key, parts in sums.items() if (count := sum(n for _, n in parts))}
         if report:
             report(turn, quality)
         for m in list(active):
-            watched[m].append(quality.get((m, WATCH), float(turn)))
+            watched[m].append(quality.get((m, WATCH), float(sum(len(tree.feature) > 1 for tree in done[m]))))
             best_turn = int(np.argmax(watched[m]))
             if turn - best_turn >= settings.patience:
                 active.remove(m)
         if not active or turn == settings.rounds:
             break
-        for m, tree in zip(active, grow(grads, active, models, width, turn, settings), strict=True):
+        trees = [[] for _ in range(models)]
+        for m, tree in zip(active, grow(made, active, models, width, turn, settings), strict=True):
             trees[m].append(tree)
             done[m].append(tree)
-        if (turn + 1) % SNAPSHOT == 0:
-            state = stage(state.mapInArrow(_based(trees, models), state.schema), "boosting-state")
-            trees = [[] for _ in range(models)]
+    drop_written(spark, path)
     ends = [int(np.argmax(w)) for w in watched]
     return [Model(bins, tuple(own[:end]), tuple(w)) for own, end, w in zip(done, ends, watched, strict=True)]
 
 
 def predict(df: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """`df` with the model's score as a last column; `model` is a few kilobytes per tree."""
-    names = [f"_f{i}" for i in range(len(model.bins.features))]
-    wide = df.select("*", *[c.alias(n) for c, n in zip(_inputs(df, model.bins.features), names, strict=True)])
-    kept, columns = len(df.columns), [*df.columns, out]
+    return predict_all(df, [model], [out])
+
+
+def predict_all(df: DataFrame, models: Sequence[Model], out: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
+    """`df`, or its columns `keep`, with the scores of models of the same bins in the columns `out`; every row is looked at once."""
+    bins, kept = models[0].bins, list(df.columns if keep is None else keep)
+    names = [f"_f{i}" for i in range(len(bins.features))]
+    wide = df.select(*kept, *[c.alias(n) for c, n in zip(_inputs(df, bins.features), names, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = model.bins.of(batch.columns[kept:])
-            score = np.zeros(batch.num_rows)
-            for tree in model.trees:
-                score += tree.values(x)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(score)], names=columns)
-
-    return wide.mapInArrow(run, df.select("*", F.lit(0.0).alias(out)).schema)
+            columns = np.ascontiguousarray(bins.of(batch.columns[len(kept):]).T)
+            scores = np.zeros((len(models), batch.num_rows))
+            for model, score in zip(models, scores, strict=True):
+                for tree in model.trees:
+                    tree.add_values(columns, score)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *map(pa.array, scores)], names=[*kept, *out])
+
+    return wide.mapInArrow(run, df.select(*kept, *[F.lit(0.0).alias(name) for name in out]).schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,19 +15,21 @@ def _discounts(first: Column, last: Column) -> Column:
 
 
 def session_ndcg(
-    scored: DataFrame, k: int = 5, *, score: str = "score", label: str = "add_to_cart", no_positive: float | None = 0.0
+    scored: DataFrame, k: int = 5, *, score: str = "score", label: str = "add_to_cart", no_positive: float | None = 0.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """(session_id, ndcg) with binary relevance and log2 discount.
+    """(session_id, ndcg) with binary relevance and log2 discount; with `by`, for each value of these columns, which lead.
 
     Equal scores share the mean gain of the places they fill. Sessions without a positive get
     `no_positive`; None leaves them out. Rows are first merged per (session, score), of which at
     most the k best can reach the first k places.
     """
-    scored = scored.select("session_id", F.col(score).alias("_score"), F.col(label).cast("bigint").alias("_rel"))
-    groups = scored.groupBy("session_id", "_score").agg(
+    keys = [*by, "session_id"]
+    scored = scored.select(*keys, F.col(score).alias("_score"), F.col(label).cast("bigint").alias("_rel"))
+    groups = scored.groupBy(*keys, "_score").agg(
         F.count(F.lit(1)).alias("_rows"), F.sum("_rel").alias("_gain")
     )
-    best = Window.partitionBy("session_id").orderBy(F.col("_score").desc())
+    best = Window.partitionBy(*keys).orderBy(F.col("_score").desc())
     top = groups.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= k)
     done = F.sum("_rows").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     reach = top.withColumn("_done", done).withColumn(
@@ -33,19 +37,20 @@ def session_ndcg(
         F.col("_gain") / F.col("_rows")
         * _discounts(F.col("_done") - F.col("_rows") + 1, F.least(F.col("_done"), F.lit(k).cast("bigint"))),
     )
-    dcg = reach.groupBy("session_id").agg(F.sum("_dcg").alias("_dcg"))
-    positives = scored.groupBy("session_id").agg(F.sum("_rel").alias("_pos"))
+    dcg = reach.groupBy(*keys).agg(F.sum("_dcg").alias("_dcg"))
+    positives = scored.groupBy(*keys).agg(F.sum("_rel").alias("_pos"))
     ideal = _discounts(F.lit(1).cast("bigint"), F.least(F.col("_pos"), F.lit(k).cast("bigint")))
-    out = positives.join(dcg, "session_id").select(
-        "session_id",
+    out = positives.join(dcg, keys).select(
+        *keys,
         F.when(F.col("_pos") > 0, F.try_divide(F.col("_dcg"), ideal)).otherwise(F.lit(no_positive)).alias("ndcg"),
     )
     return out.filter(F.col("ndcg").isNotNull()) if no_positive is None else out
 
 
-def ndcg_at_k(scored: DataFrame, k: int = 5, **options) -> DataFrame:
-    """Mean over the sessions, one row."""
-    return session_ndcg(scored, k, **options).agg(F.avg("ndcg").alias("ndcg"), F.count(F.lit(1)).alias("sessions"))
+def ndcg_at_k(scored: DataFrame, k: int = 5, *, by: Sequence[str] = (), **options) -> DataFrame:
+    """Mean over the sessions, one row; with `by`, one for each value of these columns."""
+    sessions = session_ndcg(scored, k, by=by, **options)
+    return sessions.groupBy(*by).agg(F.avg("ndcg").alias("ndcg"), F.count(F.lit(1)).alias("sessions"))
 
 
 def pooled_f1(scored: DataFrame, *, prediction: str = "prediction", label: str = "add_to_cart") -> DataFrame:

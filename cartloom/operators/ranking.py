@@ -228,15 +228,16 @@ def cross_validate_ndcg(
     bins = boosting.find_bins(folded, features, settings.bins)
     roles = [F.when(F.col("fold") == m, boosting.HELD).when(_watched(seed), boosting.WATCH).otherwise(boosting.TRAIN) for m in range(k)]
     models = boosting.boost(boosting.chunks(folded, bins, roles, k=settings.k), bins, k, settings)
-    out = None
-    for fold, model in enumerate(models):
-        scored = boosting.predict(folded, model)
-        parts = [ndcg_at_k(scored.filter(c), settings.k).select("ndcg") for c in (F.col("fold") != fold, F.col("fold") == fold)]
-        row = parts[0].toDF("train").withColumn("valid", parts[1].scalar()).select(
-            F.lit(fold).alias("fold"), F.lit(len(model.trees)).alias("rounds"), "train", "valid"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    # Every row is scored once by all models, and all are judged in one pass.
+    scores = [f"_score{m}" for m in range(k)]
+    scored = stage(boosting.predict_all(folded, models, scores, ["session_id", "fold", "add_to_cart"]), "fold_scores")
+    each = scored.repartition("session_id").select("session_id", "fold", "add_to_cart", F.posexplode(F.array(*scores)).alias("_model", "score"))
+    judged = ndcg_at_k(each.withColumn("_held", F.col("fold") == F.col("_model")), settings.k, by=["_model", "_held"])
+    sides = judged.groupBy(F.col("_model").alias("fold")).agg(
+        F.max(F.when(~F.col("_held"), F.col("ndcg"))).alias("train"), F.max(F.when(F.col("_held"), F.col("ndcg"))).alias("valid")
+    )
+    rounds = df.sparkSession.createDataFrame([(fold, len(model.trees)) for fold, model in enumerate(models)], "fold int, rounds int")
+    return rounds.join(sides, "fold", "left").select("fold", "rounds", "train", "valid")
 
 
 def compare_objectives(df: DataFrame, k: int = 5, settings: boosting.Settings = NDCG_RANKER, **options) -> DataFrame:

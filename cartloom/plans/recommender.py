@@ -136,4 +136,4 @@ def train_ndcg_ranker(train_fe: DataFrame, options: Options = Options(), setting
 
 def ranked(test_fe: DataFrame, model: boosting.Model, k: int = 5) -> DataFrame:
     """(session_id, rank, partnumber, score): the k best products of each session."""
-    return recommend(boosting.predict(test_fe, model), k)
+    return recommend(boosting.predict_all(test_fe, [model], ["score"], ["session_id", "partnumber"]), k)
