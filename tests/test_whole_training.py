@@ -29,3 +29,10 @@ def test_folds(spark, small, given):
         CT.queries()["ranker_ndcg_folds"](spark, small)
     assert given["models"] == 5
     assert given["settings"] == R.NDCG_RANKER and given["settings"].rounds == 1000 and given["settings"].rate == 0.05
+
+
+def test_recommendations(spark, small, given):
+    with pytest.raises(Seen):
+        CT.queries()["recommend_ranked"](spark, small)
+    assert given["models"] == 1
+    assert given["settings"] == R.NDCG_RANKER and given["settings"].rounds == 1000 and given["settings"].rate == 0.05
