@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartloom.operators import boosting as B
 from cartloom.operators import ranking as R
 from cartloom.operators.evaluate import ndcg_at_k
-from tests.test_boosting import SCHEMA, brute_gradients, sessions
+from tests.test_boosting import SCHEMA, brute_gradients, reference_tree, sessions
 
 FEATURES = ["a", "b", "c"]
 SETTINGS = B.Settings(rounds=3, rate=0.3, leaves=6, least_rows=10, patience=9)
@@ -81,7 +81,25 @@ def test_sessions_of_several_chunks_give_the_same_trees(toy, monkeypatch):
         assert all(np.allclose(a.value, b.value, atol=1e-5) for a, b in zip(one.trees, other.trees))
 
 
-def test_only_the_smaller_side_is_added_up():
+@pytest.mark.parametrize("local", [0, 300, 10000])
+def test_leaves_of_few_rows_are_grown_by_one_task(spark, monkeypatch, local):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 12, (700, 4)).astype(np.uint8)
+    g = (np.where(x[:, 1] > 6, 40, -30) + np.where(x[:, 2] == 0, 90, 0) + 5 * x[:, 0] * (x[:, 3] > 4) + rng.integers(-20, 20, 700)).astype(np.float64)
+    h = rng.integers(1, 4, 700).astype(np.float64)
+    settings = B.Settings(leaves=31, least_rows=5, bins=12, feature_share=1.0)
+    frame = spark.createDataFrame([(a.tobytes(), b.tobytes(), c.tobytes(), b"\x01") for a, b, c in zip(x, g, h)], "x binary, g binary, h binary, n binary").repartition(5)
+    monkeypatch.setattr(B, "LOCAL", local)
+    passes, added = [], B._added
+    monkeypatch.setattr(B, "_added", lambda *a: passes.append(1) or added(*a))
+    (tree,) = B.grow(frame, [0], 1, 4, 0, settings, 700)
+    want = reference_tree(x, g, h, settings)
+    assert sorted(zip(tree.feature, tree.bin)) == sorted(zip(want.feature, want.bin)) and np.allclose(tree.values(x), want.values(x))
+    assert len(passes) == 1 if local > 700 else len(passes) > 1
+
+
+def test_only_the_smaller_side_is_added_up(monkeypatch):
+    monkeypatch.setattr(B, "LOCAL", 0)
     growth = B.Growth(B.Settings(leaves=8, least_rows=5, bins=6), np.arange(2))
     rng = np.random.default_rng(3)
     x, g, h = rng.integers(1, 7, (200, 2)), rng.integers(-9, 9, 200).astype(float), rng.integers(1, 4, 200).astype(float)
